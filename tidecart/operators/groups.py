@@ -69,6 +69,21 @@ def fill_with_group_mean(
     return _fill(attach(df, means, [group], "n_rows", max_bytes), columns)
 
 
+def with_group_mean(
+    df: DataFrame, group: str, column: str, name: str, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The mean of the row's group as a new column; null where the group is null.
+
+    Aggregate and join, as a window over the group would put a large group in one task.
+    """
+    means = pin(
+        df.where(F.col(f"`{group}`").isNotNull())
+        .groupBy(F.col(f"`{group}`"))
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.avg(F.col(f"`{column}`")).alias(name))
+    )
+    return attach(df, means, [group], "n_rows", max_bytes)
+
+
 def _fill(df: DataFrame, columns: list[str]) -> DataFrame:
     filled = {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.col(f"`__mean_{c}`")) for c in columns}
     return df.withColumns(filled).drop(*[f"__mean_{c}" for c in columns])

@@ -35,7 +35,7 @@ def detect_encodings(spark: SparkSession, paths: str | Iterable[str]) -> DataFra
     undefined.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    undefined = F.decode(F.col("value").cast("binary"), F.lit("ISO-8859-1")).rlike("[\\x81\\x8d\\x8f\\x90\\x9d]")
+    undefined = F.decode(F.col("value").cast("binary"), "ISO-8859-1").rlike("[\\x81\\x8d\\x8f\\x90\\x9d]")
     flags = (
         spark.read.text(paths)
         .groupBy(F.col("_metadata.file_path").alias("path"))
@@ -48,6 +48,27 @@ def detect_encodings(spark: SparkSession, paths: str | Iterable[str]) -> DataFra
     )
 
 
+def _reader(spark: SparkSession, encoding: str, multi_line: bool):
+    return (
+        spark.read.option("header", True).option("quote", '"').option("escape", '"')
+        .option("multiLine", multi_line).option("mode", "PERMISSIVE")
+        .option("encoding", "UTF-8" if encoding == "utf-8" else "ISO-8859-1")
+    )
+
+
+def _tagged_rows(spark, path, names, encoding, multi_line) -> DataFrame:
+    """All columns and, for rows with too few or too many fields, the raw record.
+
+    Columns are not pruned in the parser, which would compare a row with the columns asked for
+    instead of the header.
+    """
+    schema = StructType([StructField(n, StringType()) for n in [*names, _CORRUPT]])
+    return (
+        _reader(spark, encoding, multi_line).option("columnNameOfCorruptRecord", _CORRUPT)
+        .option("columnPruning", False).schema(schema).csv(path)
+    )
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -72,22 +93,16 @@ def read_csv(
             raise ValueError("files of different encodings: use read_csv_files")
         encoding = found.pop()
 
-    def reader():
-        return (
-            spark.read.option("header", True).option("quote", '"').option("escape", '"')
-            .option("multiLine", multi_line).option("mode", "PERMISSIVE")
-            .option("encoding", "UTF-8" if encoding == "utf-8" else "ISO-8859-1")
-        )
-
-    names = reader().csv(path).columns
+    names = _reader(spark, encoding, multi_line).csv(path).columns
     raw = StructType([StructField(n, StringType()) for n in names])
     if long_rows == "drop":
-        tagged = StructType([*raw.fields, StructField(_CORRUPT, StringType())])
-        df = reader().option("columnNameOfCorruptRecord", _CORRUPT).schema(tagged).csv(path)
-        # a short row is marked as well, but its last column is null; a long one fills them all
-        df = df.where(F.col(_CORRUPT).isNull() | (_field_count(F.col(_CORRUPT)) <= len(names))).drop(_CORRUPT)
+        df = _tagged_rows(spark, path, names, encoding, multi_line)
+        # short rows are marked as well; the second test always holds and keeps a plain count legal,
+        # as Spark refuses to read the raw record alone
+        fits = F.col(_CORRUPT).isNull() | (_field_count(F.col(_CORRUPT)) <= len(names))
+        df = df.where(fits & (F.coalesce(F.octet_length(F.col(f"`{names[0]}`")), F.lit(0)) >= 0)).drop(_CORRUPT)
     else:
-        df = reader().schema(raw).csv(path)
+        df = _reader(spark, encoding, multi_line).schema(raw).csv(path)
 
     def cell(name: str):
         c = F.col(f"`{name}`")
@@ -101,30 +116,24 @@ def read_csv(
 
 
 def _decode_name(name: str, encoding: str) -> str:
-    return name.encode("latin-1", "ignore").decode("cp1252", "replace") if encoding == "cp1252" else name
+    return name.encode("latin-1").decode("cp1252") if encoding == "cp1252" else name
 
 
 def _field_count(record):
-    """Fields in a raw record: commas outside quotes, plus one."""
-    unquoted = F.regexp_replace(record, '"(?:[^"]|"")*"', "")
+    """Fields in a raw record: commas outside quotes, plus one. A doubled quote closes and reopens."""
+    unquoted = F.regexp_replace(record, '"[^"]*+"', "")
     return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
 
 
 def ragged_row_counts(spark: SparkSession, path: str, encoding: str = "utf-8", multi_line: bool = False) -> DataFrame:
     """How many rows have fewer or more fields than the header: (n_rows, n_short, n_long)."""
-    reader = (
-        spark.read.option("header", True).option("quote", '"').option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("encoding", "UTF-8" if encoding == "utf-8" else "ISO-8859-1")
-    )
-    names = reader.csv(path).columns
-    schema = StructType([StructField(n, StringType()) for n in [*names, _CORRUPT]])
-    rows = reader.option("columnNameOfCorruptRecord", _CORRUPT).schema(schema).csv(path)
-    fields = _field_count(F.col(_CORRUPT))
-    return rows.select(fields.alias("fields"), *names[:1]).agg(
+    names = _reader(spark, encoding, multi_line).csv(path).columns
+    rows = _tagged_rows(spark, path, names, encoding, multi_line)
+    fields, last = _field_count(F.col(_CORRUPT)), F.col(f"`{names[-1]}`")
+    return rows.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("fields") < len(names)).alias("n_short"),
-        F.count_if(F.col("fields") > len(names)).alias("n_long"),
+        F.count_if((fields < len(names)) & last.isNull()).alias("n_short"),
+        F.count_if(fields > len(names)).alias("n_long"),
     )
 
 

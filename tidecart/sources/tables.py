@@ -18,9 +18,13 @@ def table_name_for(path: str) -> str:
     return f"t_{name}" if name[:1].isdigit() else name
 
 
-def load_table(df: DataFrame, name: str, overwrite: bool = False) -> None:
-    """Create the table. An existing one is left untouched unless ``overwrite`` is set."""
-    df.write.mode("overwrite" if overwrite else "ignore").saveAsTable(name)
+def load_table(df: DataFrame, name: str, overwrite: bool = False, path: str | None = None) -> None:
+    """Create the table. An existing one is left untouched unless ``overwrite`` is set.
+
+    With ``path`` its files go there instead of the warehouse.
+    """
+    writer = df.write.mode("overwrite" if overwrite else "ignore")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Rows with equal vectors get equal results, so the work is done on distinct vectors with their
 multiplicity. The donors are cut into blocks of nearby vectors (a k-d cut per missing pattern,
-with cut points from a sample). A receiver first looks at its home block, which bounds the distance
+with cut points from a sample; their number is bounded, and a large block is stored in chunks). A receiver first looks at its home block, which bounds the distance
 of its k-th neighbour, and then only at the blocks whose bounding box comes closer than that. The
 blocks left out cannot hold a neighbour, so the result is exact. Receivers meet donors in an equi-join on
 (block, salt); crowded blocks get several salts.
@@ -26,11 +26,13 @@ from tidecart.session import pin
 NEIGHBOURS = 5
 
 BLOCK_ROWS = 2048
-_RECEIVERS_AT_ONCE = 1024
+_RECEIVERS_AT_ONCE = 4096
 _SAMPLES_PER_LEAF = 32
 _MAX_LEAVES = 16_384
 _SINGLE_ROUND_BLOCKS = 8
-_LEAF_BITS, _CHUNK_BITS = 18, 14
+_DISTANCES_AT_ONCE = 1_000_000
+_TILE = 1 << 16
+_LEAF_BITS = 20
 
 
 @dataclass
@@ -79,6 +81,11 @@ class Cut:
             node[inner] = children[at, goes_right.astype(np.int64)]
 
 
+def _tasks(distances: float) -> int:
+    """Tasks for so many distances. Adaptive execution sees only bytes and would merge them all."""
+    return int(min(max(distances / 2e7, 1), 20_000))
+
+
 def _patterns(x: np.ndarray) -> np.ndarray:
     """Bit i set where column i is present."""
     return (~np.isnan(x)) @ (1 << np.arange(x.shape[1], dtype=np.int64))
@@ -128,33 +135,37 @@ class KnnImputer:
                         rows = np.flatnonzero(pattern == p)
                         leaf[rows] = cuts[p].leaves(np.nan_to_num(x[rows]))
                         chunks[rows] = np.array(cuts[p].leaf_chunks)[leaf[rows]]
-                chunk = batch["__hash"].to_numpy(dtype=np.uint64) % chunks.astype(np.uint64)
-                block = (((pattern << _LEAF_BITS) + leaf) << _CHUNK_BITS) + chunk.astype(np.int64)
-                yield batch.drop(columns="__hash").assign(__block=block)
+                chunk = batch["__hash"].to_numpy(dtype=np.int64) % chunks
+                yield batch.drop(columns="__hash").assign(__block=(pattern << _LEAF_BITS) + leaf, __chunk=chunk)
 
-        schema = StructType([*donors.schema.fields, StructField("__block", LongType())])
+        schema = StructType([*donors.schema.fields, StructField("__block", LongType()), StructField("__chunk", LongType())])
         if cuts:
             hashed = donors.withColumn("__hash", F.pmod(F.xxhash64(*cols), F.lit(1 << 40)))
-            placed = hashed.mapInPandas(assign, schema)
+            placed = hashed.repartition(_tasks(totals["vectors"] * 100)).mapInPandas(assign, schema)
         else:
             bits = [F.when(c.isNotNull(), F.lit(1 << i)).otherwise(0) for i, c in enumerate(cols)]
             pattern = sum(bits[1:], bits[0]).cast("bigint")
-            placed = donors.withColumn("__block", pattern * F.lit(1 << (_LEAF_BITS + _CHUNK_BITS)))
+            placed = donors.withColumns({"__block": pattern * F.lit(1 << _LEAF_BITS), "__chunk": F.lit(0)})
+        low, high = [f"low{i}" for i in range(width)], [f"high{i}" for i in range(width)]
         self.blocks = pin(
-            placed.groupBy("__block").agg(
-                F.sum("__n").alias("__rows"),
-                F.array(*[F.min(c) for c in cols]).alias("__low"),
-                F.array(*[F.max(c) for c in cols]).alias("__high"),
+            placed.groupBy("__block", "__chunk").agg(
+                F.count(F.lit(1)).alias("vectors"),
+                F.sum("__n").alias("rows"),
+                *[F.min(c).alias(n) for c, n in zip(cols, low)],
+                *[F.max(c).alias(n) for c, n in zip(cols, high)],
                 F.flatten(F.collect_list(F.array(*cols, F.col("__n").cast("double")))).alias("__donors"),
             )
         )
-        boxes = self.blocks.select("__block", "__rows", "__low", "__high").toPandas()
-        as_matrix = lambda s: np.array([[np.nan if v is None else v for v in r] for r in s], dtype=float).reshape(-1, width)
+        # at most _MAX_LEAVES boxes and one per missing pattern, however many donors there are
+        boxes = self.blocks.groupBy("__block").agg(
+            F.sum("vectors").alias("vectors"), F.sum("rows").alias("rows"),
+            *[F.min(n).alias(n) for n in low], *[F.max(n).alias(n) for n in high]).toPandas()
         self.boxes = {
             "block": boxes["__block"].to_numpy(dtype=np.int64),
-            "rows": boxes["__rows"].to_numpy(dtype=np.int64),
-            "low": as_matrix(boxes["__low"]),
-            "high": as_matrix(boxes["__high"]),
+            "vectors": boxes["vectors"].to_numpy(dtype=np.int64),
+            "rows": boxes["rows"].to_numpy(dtype=np.int64),
+            "low": boxes[low].to_numpy(dtype=float),
+            "high": boxes[high].to_numpy(dtype=float),
         }
         return self
 
@@ -200,13 +211,13 @@ class KnnImputer:
     # ---- the search -------------------------------------------------------------------------
 
     def _solve(self, receivers: DataFrame) -> DataFrame:
-        n_blocks = len(self.boxes["block"])
-        if n_blocks <= _SINGLE_ROUND_BLOCKS:
-            found = self._search(pin(self._candidates(receivers, None)))
+        n = receivers.count()
+        if len(self.boxes["block"]) <= _SINGLE_ROUND_BLOCKS:
+            found = self._search(pin(self._candidates(receivers, n, None)))
         else:
-            home = pin(self._search(pin(self._candidates(receivers, "home"))))
+            home = pin(self._search(pin(self._candidates(receivers, n, "home"))))
             reach = self._best(home, with_reach=True)
-            far = pin(self._candidates(reach, "far"))
+            far = pin(self._candidates(reach, n, "far"))
             found = home.unionByName(self._search(far))
         return self._best(found, with_reach=False)
 
@@ -257,7 +268,7 @@ class KnnImputer:
         return F.when(total["exact"] > 0, total["exact_sum"] / total["exact"]).otherwise(
             F.try_divide(total["w_sum"], total["w"]))
 
-    def _candidates(self, receivers: DataFrame, which: str | None) -> DataFrame:
+    def _candidates(self, receivers: DataFrame, n_receivers: int, which: str | None) -> DataFrame:
         """Receivers with the blocks they must look at: (vector, weight, targets, block)."""
         width, k = len(self.columns), self.k
         boxes = self.boxes
@@ -265,52 +276,56 @@ class KnnImputer:
         box_present = ~np.isnan(boxes["low"])
         low, high = np.nan_to_num(boxes["low"]), np.nan_to_num(boxes["high"])
 
-        def blocks_of(x: np.ndarray, reach: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-            """Blocks for one receiver and, per block, the targets it serves (as bits)."""
+        def choose(x: np.ndarray, reach: np.ndarray) -> np.ndarray:
+            """Targets (as bits) that each block may serve, for some receivers at once."""
             present = ~np.isnan(x)
-            shared = box_present & present
-            n_shared = shared.sum(axis=1)
-            at = np.nan_to_num(x)
-            scale = np.divide(width, n_shared, out=np.zeros(len(n_shared)), where=n_shared > 0)
-            gap = np.maximum(np.maximum(low - at, at - high), 0.0) * shared
-            nearest = np.sqrt(scale * (gap * gap).sum(axis=1)) * (1 - 1e-12)
-            far = np.maximum(np.abs(low - at), np.abs(high - at)) * shared
-            farthest = np.sqrt(scale * (far * far).sum(axis=1)) * (1 + 1e-12)
-            bits = np.zeros(len(n_shared), dtype=np.int64)
+            n_shared = present.astype(np.int64) @ box_present.T.astype(np.int64)
+            nearest, farthest = np.zeros(n_shared.shape), np.zeros(n_shared.shape)
+            for i in range(width):
+                both = present[:, i, None] & box_present[None, :, i]
+                at = np.where(present[:, i], x[:, i], 0.0)[:, None]
+                below, above = low[None, :, i] - at, at - high[None, :, i]
+                nearest += np.where(both, np.maximum(np.maximum(below, above), 0.0) ** 2, 0.0)
+                farthest += np.where(both, np.maximum(np.abs(below), np.abs(above)) ** 2, 0.0)
+            scale = width / np.maximum(n_shared, 1)
+            nearest = np.sqrt(nearest * scale) * (1 - 1e-12)
+            farthest = np.sqrt(farthest * scale) * (1 + 1e-12)
+            bits = np.zeros(n_shared.shape, dtype=np.int64)
             for i, t in enumerate(target_at):
-                if present[t]:
-                    continue
-                able = np.flatnonzero(box_present[:, t] & (n_shared > 0))
-                if not len(able):
-                    continue
+                able = box_present[None, :, t] & (n_shared > 0) & ~present[:, t, None]
                 if which is not None:
-                    by_farthest = able[np.argsort(farthest[able], kind="stable")]
-                    n_home = int(np.searchsorted(np.cumsum(boxes["rows"][by_farthest]), k)) + 1
-                    home = by_farthest[:n_home]
+                    # every block holds a row at least, so the k closest by farthest corner are enough
+                    bound = np.where(able, farthest, np.inf)
+                    first = np.argpartition(bound, min(k, bound.shape[1]) - 1, axis=1)[:, :k]
+                    order = np.argsort(np.take_along_axis(bound, first, axis=1), axis=1, kind="stable")
+                    first = np.take_along_axis(first, order, axis=1)
+                    rows = boxes["rows"][first]
+                    home = np.zeros_like(able)
+                    np.put_along_axis(home, first, np.cumsum(rows, axis=1) - rows < k, axis=1)
                     if which == "home":
-                        able = home
+                        able &= home
                     else:
-                        able = np.setdiff1d(able[nearest[able] <= reach[i]], home)
-                bits[able] |= 1 << i
-            chosen = np.flatnonzero(bits)
-            return chosen, bits[chosen]
+                        able &= ~home & (nearest <= reach[:, i, None])
+                bits |= able.astype(np.int64) << i
+            return bits
+
+        at_once = max(1, _DISTANCES_AT_ONCE // max(1, len(boxes["block"])))
 
         def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                x = batch.iloc[:, :width].to_numpy(dtype=float)
-                reaches = batch["__reach"] if which == "far" else [None] * len(batch)
-                picked = [blocks_of(row, None if r is None else np.asarray(r)) for row, r in zip(x, reaches)]
-                rows = np.repeat(np.arange(len(batch)), [len(c) for c, _ in picked])
-                if not len(rows):
-                    continue
-                out = batch.iloc[rows, : width + 1].reset_index(drop=True)
-                out["__block"] = boxes["block"][np.concatenate([c for c, _ in picked])]
-                out["__bits"] = np.concatenate([b for _, b in picked])
-                yield out
+                for start in range(0, len(batch), at_once):
+                    some = batch.iloc[start : start + at_once]
+                    x = some.iloc[:, :width].to_numpy(dtype=float)
+                    bits = choose(x, np.stack(some["__reach"]))
+                    rows, block = np.nonzero(bits)
+                    if len(rows):
+                        yield some.iloc[rows].assign(__block=boxes["block"][block], __bits=bits[rows, block])
 
         keys = [F.col(f"`{c}`") for c in self.columns]
-        used = receivers.select(*keys, "__w", *(["__reach"] if which == "far" else []))
-        schema = StructType([*receivers.select(*keys, "__w").schema.fields,
+        if which != "far":
+            receivers = receivers.withColumn("__reach", F.array_repeat(F.lit(float("inf")), len(self.targets)))
+        used = receivers.select(*keys, "__w", "__reach").repartition(_tasks(n_receivers * len(boxes["block"])))
+        schema = StructType([*used.schema.fields,
                              StructField("__block", LongType()), StructField("__bits", LongType())])
         return used.mapInPandas(expand, schema)
 
@@ -318,29 +333,34 @@ class KnnImputer:
         """Nearest donors of each candidate within its block: (vector, weight, target, donor)."""
         width, k = len(self.columns), self.k
         keys = [F.col(f"`{c}`") for c in self.columns]
-        load = candidates.groupBy("__block").agg(F.count(F.lit(1)).alias("__c"))
-        salts = F.broadcast(load.select(  # a row per block, as the boxes every task holds anyway
-            F.col("__block").alias("__b"),
-            F.ceil(F.col("__c") / _RECEIVERS_AT_ONCE).cast("int").alias("__salts")))
+        # at most a row per box
+        load = candidates.groupBy("__block").agg(F.count(F.lit(1)).alias("__c")).toPandas()
+        vectors = dict(zip(self.boxes["block"], self.boxes["vectors"]))
+        pairs = sum(float(c) * vectors[b] for b, c in zip(load["__block"], load["__c"]))
+        load["__salts"] = -(-load["__c"] // _RECEIVERS_AT_ONCE)
+        salts = F.broadcast(candidates.sparkSession.createDataFrame(
+            load[["__block", "__salts"]].values.tolist(), "__b bigint, __salts int"))
         packed = (
             candidates.join(salts, F.col("__block") == F.col("__b")).drop("__b")
             .withColumn("__salt", F.pmod(F.xxhash64(*keys), F.col("__salts")).cast("int"))
+            .repartition(_tasks(pairs), "__block", "__salt")
             .groupBy("__block", "__salt")
             .agg(F.flatten(F.collect_list(
-                F.array(*keys, F.col("__w").cast("double"), F.col("__bits").cast("double")))).alias("__receivers"))
+                F.concat(F.array(*keys, F.col("__w").cast("double"), F.col("__bits").cast("double")), F.col("__reach"))))
+                .alias("__receivers"))
         )
         spread = (
             self.blocks.join(salts, F.col("__block") == F.col("__b"))
             .select("__block", "__donors", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)).alias("__salt"))
         )
-        met = packed.join(spread, ["__block", "__salt"]).select("__receivers", "__donors")
+        met = packed.join(spread.hint("shuffle_hash"), ["__block", "__salt"]).select("__receivers", "__donors")
         target_at = [self.columns.index(t) for t in self.targets]
         columns = list(self.columns)
 
         def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for receivers, donors in zip(batch["__receivers"], batch["__donors"]):
-                    r = np.asarray(receivers, dtype=float).reshape(-1, width + 2)
+                    r = np.asarray(receivers, dtype=float).reshape(-1, width + 2 + len(target_at))
                     d = np.asarray(donors, dtype=float).reshape(-1, width + 1)
                     yield from _nearest_in_block(r, d, width, k, target_at, columns)
 
@@ -350,36 +370,61 @@ class KnnImputer:
 
 
 def _nearest_in_block(r, d, width, k, target_at, columns) -> Iterator[pd.DataFrame]:
-    x, weight, bits = r[:, :width], r[:, width], r[:, width + 1].astype(np.int64)
+    """The k nearest donors of each receiver and target in one block, by (distance, value).
+
+    ``r``: vector, weight, target bits and the distance to beat per target; ``d``: vector, count.
+    Receivers go through in tiles of one missing pattern, small enough for the processor's cache.
+    """
+    x, bits, reach = r[:, :width], r[:, width + 1].astype(np.int64), r[:, width + 2 :]
     y, count = d[:, :width], d[:, width]
     donor_has = ~np.isnan(y[0])
-    shared = ~np.isnan(x) & donor_has
-    total = np.zeros((len(x), len(y)))
-    for i in np.flatnonzero(donor_has):
-        gap = np.where(shared[:, i], x[:, i], 0.0)[:, None] - y[None, :, i]
-        total += np.where(shared[:, i, None], gap * gap, 0.0)
-    distance = np.sqrt(total * (width / shared.sum(axis=1))[:, None])
-    for i, t in enumerate(target_at):
-        rows = np.flatnonzero((bits >> i) & 1)
-        if not len(rows):
-            continue
-        mine = distance[rows]
-        if mine.shape[1] > k:
-            limit = np.partition(mine, k - 1, axis=1)[:, k - 1 : k]
-        else:
-            limit = np.full((len(rows), 1), np.inf)
-        at, donor = np.nonzero(mine <= limit)
-        order = np.lexsort((y[donor, t], mine[at, donor], at))
-        at, donor = at[order], donor[order]
-        running = np.cumsum(count[donor])
-        first = np.searchsorted(at, np.arange(len(rows)))
-        before = running - count[donor] - (running[first] - count[donor[first]])[at]
-        kept = before < k
-        at, donor = at[kept], donor[kept]
-        out = pd.DataFrame(x[rows[at]], columns=columns)
-        out["__w"] = weight[rows[at]].astype(np.int64)
-        out["__target"] = np.int32(i)
-        out["__distance"] = mine[at, donor]
-        out["__value"] = y[donor, t]
-        out["__count"] = count[donor]
-        yield out
+    by_column = np.ascontiguousarray(y.T)
+    tile_rows = max(1, _TILE // len(y))
+    squares, gaps = np.empty((tile_rows, len(y))), np.empty((tile_rows, len(y)))
+    found = []
+    pattern = _patterns(x)
+    for p in np.unique(pattern):
+        mine = np.flatnonzero(pattern == p)
+        dims = np.flatnonzero(~np.isnan(x[mine[0]]) & donor_has)
+        for start in range(0, len(mine), tile_rows):
+            rows = mine[start : start + tile_rows]
+            square, gap = squares[: len(rows)], gaps[: len(rows)]
+            square[:] = 0.0
+            for i in dims:
+                np.subtract(x[rows, i, None], by_column[i], out=gap)
+                np.multiply(gap, gap, out=gap)
+                square += gap
+            square *= width / len(dims)
+            for i, t in enumerate(target_at):
+                asked = np.flatnonzero((bits[rows] >> i) & 1)
+                if len(asked):
+                    near = _k_smallest(square, asked, reach[rows, i], by_column[t], count, k)
+                    if near is not None:
+                        at, donor, distance = near
+                        found.append((rows[at], np.full(len(at), i), distance, by_column[t][donor], count[donor]))
+    if found:
+        at, target, distance, value, count = (np.concatenate(part) for part in zip(*found))
+        out = pd.DataFrame(x[at], columns=columns)
+        yield out.assign(__w=r[at, width].astype(np.int64), __target=target.astype(np.int32),
+                         __distance=distance, __value=value, __count=count)
+
+
+def _k_smallest(square, asked, reach, value, count, k):
+    """(row, donor, distance) of the k nearest per asked row, each donor counted as often as it occurs."""
+    slack = 1 + 1e-12  # squares this close can be equal as distances
+    limit = reach[asked] * reach[asked]
+    some = square if len(asked) == len(square) else square[asked]
+    unbounded = np.flatnonzero(np.isinf(limit))
+    if len(unbounded) and some.shape[1] > k:
+        limit[unbounded] = np.partition(some[unbounded], k - 1, axis=1)[:, k - 1]
+    at, donor = np.nonzero(some <= (limit * slack)[:, None])
+    if not len(at):
+        return None
+    distance = np.sqrt(some[at, donor])
+    order = np.lexsort((value[donor], distance, at))
+    at, donor, distance = at[order], donor[order], distance[order]
+    before = np.cumsum(count[donor]) - count[donor]
+    is_first = np.append(True, at[1:] != at[:-1])
+    first = np.maximum.accumulate(np.where(is_first, np.arange(len(at)), 0))
+    kept = before - before[first] < k
+    return asked[at[kept]], donor[kept], distance[kept]

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GATHER_VALUES = 200_000
+GATHER_VALUES = 50_000
 _SKETCH = 10_000
 _STEPS = 256
 
@@ -74,7 +74,7 @@ def exact_quantiles(
     todo = open_brackets
     while todo:
         small = [b for b in todo if b.expected <= gather]
-        missed = _gather(df, x, small, ends, gather) if small else []
+        missed = _gather(df, x, small, gather) if small else []
         large = [b for b in todo if b.expected > gather] + missed
         if large:
             _narrow(df, x, large, ends)
@@ -84,33 +84,56 @@ def exact_quantiles(
     return result
 
 
-def _gather(df, x, brackets, ends, gather) -> list[_Bracket]:
-    """Read the bracket's values with their counts; return the brackets this did not settle."""
-    marks = [
-        F.when(x[b.column] < b.low, F.struct(F.lit(i).alias("i"), F.lit(None).cast("double").alias("v")))
-        .when(x[b.column] <= b.high, F.struct(F.lit(i).alias("i"), x[b.column].alias("v")))
-        for i, b in enumerate(brackets)
-    ]
+def _merged(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Disjoint spans in ascending order that cover the given ones."""
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(spans):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
+def _gather(df, x, brackets, gather) -> list[_Bracket]:
+    """Count each value inside a bracket, and the rows between brackets as one; settle the ranks.
+
+    Every cell gets the number of its span (odd inside a bracket, even between two), so that one
+    pass gives both. Returns the brackets this did not settle.
+    """
+    columns = sorted({b.column for b in brackets})
+    cells = []
+    for i, c in enumerate(columns):
+        spans = _merged([(b.low, b.high) for b in brackets if b.column == c])
+        place = F.when(x[c].isNull(), F.lit(None).cast("int"))
+        for number, (low, high) in enumerate(spans):
+            place = place.when(x[c] < low, 2 * number).when(x[c] <= high, 2 * number + 1)
+        place = place.otherwise(2 * len(spans))
+        cells.append(F.struct(F.lit(i).alias("i"), place.alias("span"), x[c].alias("v")))
+    inside = F.col("span") % 2 == 1
+    limit = 4 * gather * len(brackets)
     rows = (
-        df.select(F.explode(F.array_compact(F.array(*marks))).alias("m"))
-        .groupBy("m.i", "m.v").agg(F.count("*").alias("n"))
-        .limit(4 * gather * len(brackets))
+        df.select(F.inline(F.array(*cells)))
+        .where(F.col("span").isNotNull())
+        .groupBy("i", "span", F.when(inside, F.col("v")).alias("v"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .limit(limit)
         .toPandas()
     )
-    overflow = len(rows) >= 4 * gather * len(brackets)
     missed = []
-    for i, b in enumerate(brackets):
-        mine = rows[rows["i"] == i]
-        below = int(mine.loc[mine["v"].isna(), "n"].sum())
-        inside = mine[mine["v"].notna()].sort_values("v")
-        reach = below + inside["n"].cumsum().to_numpy()
-        if not overflow and len(inside) and below <= b.first and b.last < reach[-1]:
-            values = inside["v"].to_numpy()
-            at = np.searchsorted(reach, [b.first, b.last], side="right")
-            b.settle(float(values[at[0]]), float(values[at[1]]))
-        else:
-            b.expected = math.inf
-            missed.append(b)
+    for i, c in enumerate(columns):
+        mine = rows[rows["i"] == i].sort_values(["span", "v"])
+        reach = mine["n"].cumsum().to_numpy()
+        values = mine["v"].to_numpy()
+        for b in (b for b in brackets if b.column == c):
+            held = [math.nan, math.nan]
+            if len(rows) < limit:
+                held = [float(values[k]) for k in np.searchsorted(reach, [b.first, b.last], side="right")]
+            if any(map(math.isnan, held)):
+                b.expected = math.inf
+                missed.append(b)
+            else:
+                b.settle(*held)
     return missed
 
 

@@ -14,9 +14,11 @@ def test_parse_number(column_of):
 
 
 def test_parse_money(column_of):
-    texts = ["$1,234.56", "12 USD", "1e5", "€5", " £7.5 ", "NA", "null", "", None, "1d", "nan", "1_000", "(5)", "+3."]
+    texts = ["$1,234.56", "12 USD", "1e5", "€5", " £7.5 ", "NA", "null", "", None, "1d", "nan", "1_000", "(5)", "+3.",
+             "\xa05", "1__0", "_1", "1 2", "-.5e-1", "Infinity", ".", "1_0.2_5", "5\u2003", "1e5f"]
     assert column_of(parsing.parse_money, texts) == [
-        1234.56, None, 100000.0, 5.0, 7.5, None, None, None, None, None, None, 1000.0, None, 3.0]
+        1234.56, None, 100000.0, 5.0, 7.5, None, None, None, None, None, None, 1000.0, None, 3.0,
+        5.0, None, None, None, -0.05, float("inf"), None, 10.25, 5.0, None]
 
 
 def test_clean_text(column_of):

@@ -16,8 +16,14 @@ MISSING_TEXT = "Unknown"
 
 # White space: Unicode White_Space plus the four separators 1C-1F.
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
+_WIDE_BLANKS = "\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _WORD = r"[\p{L}\p{N}_]"
 
+# A float as text: digits with single underscores between them, a point, an exponent, or infinity.
+_DIGITS = r"\d+(?:_\d+)*+"
+_FLOAT = (rf"^[\t-\r\x1c-\x20]*+[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+          r"|(?i:inf|infinity))[\t-\r\x1c-\x20]*+\z")
+
 
 def null_markers_to_null(c: Column) -> Column:
     """Reader-level null markers become null, anything else is kept as is."""
@@ -39,10 +45,8 @@ def parse_number(c: Column) -> Column:
 
 def parse_money(c: Column) -> Column:
     """Strict number: only ``, $ € £`` are removed; any other stray character gives null."""
-    bare = F.regexp_replace(F.regexp_replace(c, "[,$€£]", ""), rf"^{_SPACE}|{_SPACE}$", "")
-    bare = F.regexp_replace(bare, r"(?<=\d)_(?=\d)", "")
-    shape = r"^(?i:[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity))\z"
-    return F.when(bare.rlike(shape), bare.try_cast("double"))
+    text = F.translate(c, _WIDE_BLANKS + ",$€£", " " * len(_WIDE_BLANKS))
+    return F.when(text.rlike(_FLOAT), F.translate(text, "_", "").try_cast("double"))
 
 
 def parse_flag(c: Column) -> Column:

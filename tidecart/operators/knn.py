@@ -10,11 +10,13 @@ blocks left out cannot hold a neighbour, so the result is exact. Receivers meet
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -22,6 +24,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tidecart.operators.attach import attach, fits_broadcast
 from tidecart.session import pin
 
+# The small numpy helpers below travel with the tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: neighbours used, weighted by inverse distance.
 NEIGHBOURS = 5
 

@@ -44,14 +44,25 @@ class LowValueColumns:
     reasons: dict[str, str] = field(default_factory=dict)
 
     def fit(self, df: DataFrame) -> LowValueColumns:
-        """One aggregate for all columns: null counts, and min = max as the one-value test."""
+        """One aggregate for all columns: null counts, and min = max as the one-value test.
+
+        Texts are tested by their hashes, which Spark aggregates without keeping texts: two hashes
+        mean two values, and the rare column with one hash is looked at again.
+        """
         self.reasons = {}
+        texts = {n for n, t in df.dtypes if t == "string"}
         aggregates = [F.count(F.lit(1)).alias("rows")]
         for i, name in enumerate(df.columns):
             c = F.col(f"`{name}`")
             aggregates.append(F.count(c).alias(f"filled{i}"))
-            aggregates.append((F.min(c) == F.max(c)).alias(f"single{i}"))
-        row = df.agg(*aggregates).first()
+            key = F.when(c.isNotNull(), F.xxhash64(c)) if name in texts else c
+            aggregates.append((F.min(key) == F.max(key)).alias(f"single{i}"))
+        row = df.agg(*aggregates).first().asDict()
+        again = [i for i, n in enumerate(df.columns) if n in texts and row[f"single{i}"]]
+        if again:
+            exact = [(F.min(F.col(f"`{df.columns[i]}`")) == F.max(F.col(f"`{df.columns[i]}`"))).alias(f"single{i}")
+                     for i in again]
+            row.update(df.agg(*exact).first().asDict())
         if row["rows"] == 0:
             return self
         for i, name in enumerate(df.columns):

@@ -47,9 +47,10 @@ PURCHASE_DATE = "Purchase_Date"
 
 
 def parse_marketing(df: DataFrame, strict_money: bool = False) -> DataFrame:
-    """Typed columns from the all-string marketing table, in one projection.
+    """Typed columns from the all-string marketing table, without a shuffle.
 
-    ``strict_money`` is the older script's parser, which also accepts free-form timestamps.
+    ``strict_money`` is the older script's parser, which also accepts free-form timestamps. The wall
+    clock is a column of its own first, so that its four parts do not parse the text four times.
     """
     number = parsing.parse_money if strict_money else parsing.parse_number
     typed = {}
@@ -64,8 +65,9 @@ def parse_marketing(df: DataFrame, strict_money: bool = False) -> DataFrame:
     if MARKETING_TIME in df.columns:
         col = F.col(f"`{MARKETING_TIME}`")
         wall = dates.any_wall_clock(col) if strict_money else dates.zoned_wall_clock(col)
-        instant = dates.parse_any_timestamp(col) if strict_money else dates.parse_zoned_timestamp(col)
-        typed = {**typed, MARKETING_TIME: instant, **dates.crawl_parts(wall)}
+        typed[MARKETING_TIME] = dates.parse_any_timestamp(col) if strict_money else dates.parse_zoned_timestamp(col)
+        typed["__wall"] = wall
+        return df.withColumns(typed).withColumns(dates.crawl_parts(F.col("__wall"))).drop("__wall")
     return df.withColumns(typed)
 
 
@@ -144,9 +146,9 @@ def clean_marketing_older(raw: DataFrame) -> DataFrame:
 
 def clean_purchases(raw: DataFrame) -> DataFrame:
     """Exact dedup, then the purchase date and its calendar parts."""
-    day = dates.parse_short_date(F.col(PURCHASE_DATE))
     distinct = dedup.drop_exact_copies(raw)
-    return distinct.withColumns({PURCHASE_DATE: day, **dates.purchase_parts(day)})
+    dated = distinct.withColumn(PURCHASE_DATE, dates.parse_short_date(F.col(PURCHASE_DATE)))
+    return dated.withColumns(dates.purchase_parts(F.col(PURCHASE_DATE)))
 
 
 def clean_products(raw: DataFrame, on_bad_discount: str = "fail") -> DataFrame:

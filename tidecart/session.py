@@ -17,6 +17,8 @@ def local_session(app: str = "tidecart", cores: int | str = "*", partitions: int
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # beyond this size the JVM does not compile a method, and wide parsing runs at half speed
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .getOrCreate()

@@ -50,9 +50,9 @@ def holes(pdf, share, seed):
     return out
 
 
-@pytest.mark.parametrize("block_rows", [2048, 16])
+@pytest.mark.parametrize("block_rows, single_round", [(2048, 1e9), (16, 1e9), (16, 0)])
 @pytest.mark.parametrize("kind", ["smooth", "coarse"])
-def test_knn_matches_brute_force(spark, block_rows, kind):
+def test_knn_matches_brute_force(spark, block_rows, single_round, kind):
     rng = np.random.default_rng(11)
     if kind == "smooth":
         pdf = pd.DataFrame(rng.normal(size=(400, 4)) * [1, 5, 20, 1], columns=["a b", "c", "d", "e"])
@@ -61,7 +61,9 @@ def test_knn_matches_brute_force(spark, block_rows, kind):
     pdf = holes(pdf, 0.08, 1)
     pdf.iloc[0] = np.nan
     columns = list(pdf)
-    got = back(KnnImputer(columns, block_rows=block_rows).fit(df := to_spark(spark, pdf)).transform(df), columns)
+    df = to_spark(spark, pdf)
+    model = KnnImputer(columns, block_rows=block_rows, single_round=single_round).fit(df)
+    got = back(model.transform(df), columns)
     np.testing.assert_allclose(got, brute_knn(pdf.to_numpy(), 5), rtol=1e-9)
 
 
@@ -89,7 +91,8 @@ def test_knn_new_rows_and_target_only(spark):
 def test_knn_hot_vector(spark):
     base = pd.DataFrame({"a": [1.0] * 500 + list(range(100)), "b": [np.nan] * 500 + list(range(100)), "c": 2.0})
     df = to_spark(spark, base)
-    got = back(KnnImputer(list("abc"), block_rows=16).fit(df).transform(df), list("abc"))
+    model = KnnImputer(list("abc"), block_rows=16, single_round=0).fit(df)
+    got = back(model.transform(df), list("abc"))
     np.testing.assert_allclose(got, brute_knn(base.to_numpy(), 5))
 
 

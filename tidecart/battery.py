@@ -625,6 +625,21 @@ def knn_one_target(spark, sf):
     return _rounded(KnnImputer(columns, targets=["balance"]).fit(source).transform(source), ["balance"])
 
 
+PER_COLUMN_HOLES = f"""SELECT o_orderkey, {hole('o_totalprice', 'o_orderkey', 30)} AS price,
+    {hole('CAST(o_custkey AS DOUBLE)', 'o_orderkey', 40, 1)} AS customer,
+    {hole('CAST(month(o_orderdate) AS DOUBLE)', 'o_orderkey', 3, 1)} AS month FROM orders"""
+
+
+@query("knn_per_column", knn_sql(
+    PER_COLUMN_HOLES, "o_orderkey", ["price", "customer", "month"], ["price", "customer"]).replace(
+        "SELECT s.o_orderkey, s.month", "SELECT s.o_orderkey, coalesce(s.month, (SELECT median(month) FROM src)) AS month"))
+def knn_per_column(spark, sf):
+    columns = ["price", "customer", "month"]
+    source = spark.sql(PER_COLUMN_HOLES.replace("FROM orders", "FROM {o}"), o=table(spark, sf, "orders"))
+    filled = SmartImputer(columns, per_column=True).fit(source).transform(source)
+    return _rounded(filled, ["price", "customer"])
+
+
 CHAINED_COLUMNS = ["price", "quantity", "tax", "part"]
 
 
@@ -882,6 +897,17 @@ def correlations(spark, sf):
     return _rounded(profile.correlations(lines), ["corr"], 8)
 
 
+@query("most_correlated_columns", "WITH t AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in CORRELATED.items()) +
+       " FROM lineitem), c AS (" + " UNION ALL ".join(
+    f"SELECT '{b}' AS \"column\", abs(corr(price, {b})) AS strength FROM t" for b in CORRELATED if b != "price") + """)
+    SELECT 'price' AS "column", 1 AS place UNION ALL
+    SELECT "column", 1 + row_number() OVER (ORDER BY strength DESC)::INT FROM c ORDER BY place LIMIT 3""")
+def most_correlated_columns(spark, sf):
+    lines = table(spark, sf, "lineitem").select(*[F.expr(e).alias(n) for n, e in CORRELATED.items()])
+    ranked = profile.most_correlated(lines, "price", list(CORRELATED), 3)
+    return spark.createDataFrame(list(zip(ranked, range(1, 4))), "column string, place int")
+
+
 # ---- reports ------------------------------------------------------------------------------------
 
 @query("value_counts", """

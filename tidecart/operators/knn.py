@@ -34,7 +34,7 @@ BLOCK_ROWS = 2048
 _RECEIVERS_AT_ONCE = 4096
 _SAMPLES_PER_LEAF = 32
 _MAX_LEAVES = 16_384
-_SINGLE_ROUND_BLOCKS = 8
+_SINGLE_ROUND_DISTANCES = 3e8
 _DISTANCES_AT_ONCE = 1_000_000
 _TILE = 1 << 16
 _LEAF_BITS = 20
@@ -115,6 +115,7 @@ class KnnImputer:
     k: int = NEIGHBOURS
     targets: list[str] | None = None
     block_rows: int = BLOCK_ROWS
+    single_round: float = _SINGLE_ROUND_DISTANCES  # so little work that ruling blocks out costs more
 
     def fit(self, df: DataFrame) -> KnnImputer:
         self.targets = self.targets or list(self.columns)
@@ -217,7 +218,7 @@ class KnnImputer:
 
     def _solve(self, receivers: DataFrame) -> DataFrame:
         n = receivers.count()
-        if len(self.boxes["block"]) <= _SINGLE_ROUND_BLOCKS:
+        if n * float(self.boxes["vectors"].sum()) <= self.single_round:
             found = self._search(pin(self._candidates(receivers, n, None)))
         else:
             home = pin(self._search(pin(self._candidates(receivers, n, "home"))))

@@ -56,7 +56,9 @@ class LowValueColumns:
             c = F.col(f"`{name}`")
             aggregates.append(F.count(c).alias(f"filled{i}"))
             key = F.when(c.isNotNull(), F.xxhash64(c)) if name in texts else c
-            aggregates.append((F.min(key) == F.max(key)).alias(f"single{i}"))
+            orderable = "map<" not in dict(df.dtypes)[name]
+            single = F.min(key) == F.max(key) if orderable else F.lit(False)
+            aggregates.append(single.alias(f"single{i}"))
         row = df.agg(*aggregates).first().asDict()
         again = [i for i, n in enumerate(df.columns) if n in texts and row[f"single{i}"]]
         if again:

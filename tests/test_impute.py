@@ -88,10 +88,11 @@ def test_knn_new_rows_and_target_only(spark):
     assert np.isnan(got[1, 0])
 
 
-def test_knn_hot_vector(spark):
+@pytest.mark.parametrize("max_bytes", [1 << 26, 0])
+def test_knn_hot_vector(spark, max_bytes):
     base = pd.DataFrame({"a": [1.0] * 500 + list(range(100)), "b": [np.nan] * 500 + list(range(100)), "c": 2.0})
     df = to_spark(spark, base)
-    model = KnnImputer(list("abc"), block_rows=16, single_round=0).fit(df)
+    model = KnnImputer(list("abc"), block_rows=16, single_round=0, max_bytes=max_bytes).fit(df)
     got = back(model.transform(df), list("abc"))
     np.testing.assert_allclose(got, brute_knn(base.to_numpy(), 5))
 

@@ -37,11 +37,12 @@ def attach(
     keys: list[str],
     weight: str,
     max_bytes: int = BROADCAST_BYTES,
+    n_bytes: int | None = None,
 ) -> DataFrame:
     """Left-join ``table`` (one row per key, pinned) to ``df``; null keys match null keys.
 
     ``weight`` is the column of ``table`` with the number of rows of ``df`` behind each key; it is
-    not part of the result. A table measured to fit is broadcast. A larger one is split: keys that
+    not part of the result. A table measured to fit (or known to, by ``n_bytes``) is broadcast. A larger one is split: keys that
     hold at least 1/1000 of all rows, of which there are at most 1000, are broadcast; the other
     keys are shuffled, and rows of hot keys are spread over that shuffle by a salt that matches
     nothing.
@@ -57,7 +58,7 @@ def attach(
     unpack = [F.col("__values")[v].alias(v) for v in values]
     own = [F.col(f"`{c}`") for c in df.columns]
 
-    if fits_broadcast(table, max_bytes):
+    if n_bytes <= max_bytes if n_bytes is not None else fits_broadcast(table, max_bytes):
         small = F.broadcast(renamed.drop("__weight"))
         return df.join(small, matches, "left").select(*own, *unpack)
 

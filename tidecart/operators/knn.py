@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidecart.operators.attach import attach, fits_broadcast
+from tidecart.operators.attach import BROADCAST_BYTES, attach
 from tidecart.session import pin
 
 # The small numpy helpers below travel with the tasks, so executors need no copy of this package.
@@ -116,6 +116,7 @@ class KnnImputer:
     targets: list[str] | None = None
     block_rows: int = BLOCK_ROWS
     single_round: float = _SINGLE_ROUND_DISTANCES  # so little work that ruling blocks out costs more
+    max_bytes: int = BROADCAST_BYTES
 
     def fit(self, df: DataFrame) -> KnnImputer:
         self.targets = self.targets or list(self.columns)
@@ -199,14 +200,16 @@ class KnnImputer:
         for t in self.targets:
             hole = hole | F.col(f"`{t}`").isNull()
         receivers = pin(_vectors(df.where(hole), self.columns, "__w"))
-        solved = pin(self._solve(receivers))
-        if fits_broadcast(solved):
-            joined = attach(df, solved, self.columns, "__w")
+        n = receivers.count()
+        solved = pin(self._solve(receivers, n))
+        n_bytes = n * 8 * (len(self.columns) + len(self.targets) + 3)  # one row of numbers per receiver
+        if n_bytes <= self.max_bytes:
+            joined = attach(df, solved, self.columns, "__w", self.max_bytes, n_bytes)
         else:
             complete = df.where(~hole).withColumns(
                 {f"__fill_{t}": F.lit(None).cast("double") for t in self.targets})
-            joined = attach(df.where(hole), solved, self.columns, "__w").unionByName(complete)
-        means = {f"__fill_{t}": F.coalesce(F.col(f"`__fill_{t}`"), F.lit(self.means[t])) for t in self.targets}
+            joined = attach(df.where(hole), solved, self.columns, "__w", self.max_bytes, n_bytes).unionByName(complete)
+        means = {f"__fill_{t}": F.coalesce(F.col(f"`__fill_{t}`"), F.lit(self.means[t]).cast("double")) for t in self.targets}
         return joined.withColumns(means)
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -216,15 +219,15 @@ class KnnImputer:
 
     # ---- the search -------------------------------------------------------------------------
 
-    def _solve(self, receivers: DataFrame) -> DataFrame:
-        n = receivers.count()
+    def _solve(self, receivers: DataFrame, n: int) -> DataFrame:
         if n * float(self.boxes["vectors"].sum()) <= self.single_round:
-            found = self._search(pin(self._candidates(receivers, n, None)))
+            found = self._search(self._candidates(receivers, n, None), {b: n for b in self.boxes["block"]})
         else:
-            home = pin(self._search(pin(self._candidates(receivers, n, "home"))))
+            candidates = pin(self._candidates(receivers, n, "home"))
+            home = pin(self._search(candidates, self._load(candidates)))
             reach = self._best(home, with_reach=True)
             far = pin(self._candidates(reach, n, "far"))
-            found = home.unionByName(self._search(far))
+            found = home.unionByName(self._search(far, self._load(far)))
         return self._best(found, with_reach=False)
 
     def _best(self, found: DataFrame, with_reach: bool) -> DataFrame:
@@ -335,17 +338,19 @@ class KnnImputer:
                              StructField("__block", LongType()), StructField("__bits", LongType())])
         return used.mapInPandas(expand, schema)
 
-    def _search(self, candidates: DataFrame) -> DataFrame:
+    def _load(self, candidates: DataFrame) -> dict[int, int]:
+        """Receivers per block: at most an entry per box."""
+        counted = candidates.groupBy("__block").agg(F.count(F.lit(1)).alias("c")).toPandas()
+        return dict(zip(counted["__block"], counted["c"]))
+
+    def _search(self, candidates: DataFrame, load: dict[int, int]) -> DataFrame:
         """Nearest donors of each candidate within its block: (vector, weight, target, donor)."""
         width, k = len(self.columns), self.k
         keys = [F.col(f"`{c}`") for c in self.columns]
-        # at most a row per box
-        load = candidates.groupBy("__block").agg(F.count(F.lit(1)).alias("__c")).toPandas()
         vectors = dict(zip(self.boxes["block"], self.boxes["vectors"]))
-        pairs = sum(float(c) * vectors[b] for b, c in zip(load["__block"], load["__c"]))
-        load["__salts"] = -(-load["__c"] // _RECEIVERS_AT_ONCE)
+        pairs = sum(float(c) * vectors[b] for b, c in load.items())
         salts = F.broadcast(candidates.sparkSession.createDataFrame(
-            load[["__block", "__salts"]].values.tolist(), "__b bigint, __salts int"))
+            [(int(b), -(-int(c) // _RECEIVERS_AT_ONCE)) for b, c in load.items()], "__b bigint, __salts int"))
         packed = (
             candidates.join(salts, F.col("__block") == F.col("__b")).drop("__b")
             .withColumn("__salt", F.pmod(F.xxhash64(*keys), F.col("__salts")).cast("int"))

@@ -109,6 +109,33 @@ def csv_mixed_encodings(spark, sf):
     return csv_files.read_csv_files(spark, files).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
+@query("csv_encodings_detected", f"""
+    WITH t AS (SELECT doc_id % 4 AS folder, {ONE_LINE.format(g=", 'g'")} AS line FROM documents)
+    SELECT folder, CASE folder WHEN 1 THEN 'cp1252' WHEN 2 THEN 'latin-1'
+        WHEN 3 THEN CASE WHEN bool_or(regexp_matches(line, '[\\x{{80}}-\\x{{ff}}]')) THEN 'cp1252' ELSE 'utf-8' END
+        ELSE 'utf-8' END AS encoding FROM t GROUP BY folder""")
+def csv_encodings_detected(spark, sf):
+    out = scratch(spark)
+    docs = table(spark, sf, "documents")
+    one_line = F.regexp_replace("text", r"[\n\r]", " ")
+    latin1 = F.regexp_replace(one_line, r"[^\x00-\xff]", "?")
+    for i, (encoding, text) in enumerate([
+        ("UTF-8", one_line),
+        ("ISO-8859-1", F.concat(F.lit("\x80 "), latin1)),
+        ("ISO-8859-1", F.concat(F.lit("\x81 "), latin1)),  # a byte cp1252 does not define
+        ("ISO-8859-1", latin1),
+    ]):
+        part = docs.where(F.col("doc_id") % 4 == i).select(text.alias("text"))
+        part.write.option("header", True).option("escape", '"').option("encoding", encoding).csv(f"{out}/{i}")
+    files = [p for i in range(4) for p in csv_files.csv_files(spark, f"{out}/{i}")]
+    order = F.array(*map(F.lit, csv_files.ENCODINGS))
+    return (  # the least common encoding found in a folder stands for it
+        csv_files.detect_encodings(spark, files)
+        .groupBy(F.regexp_extract("path", r"/(\d)/[^/]+\z", 1).cast("bigint").alias("folder"))
+        .agg(F.max_by("encoding", F.array_position(order, F.col("encoding"))).alias("encoding"))
+    )
+
+
 def _ragged(spark, sf):
     """Order lines as raw text rows: every 7th too long, every 5th too short."""
     out = scratch(spark)
@@ -546,6 +573,16 @@ def repair_groups(spark, sf):
         {"a": F.round("a", 6), "b": F.round("b", 6)})
 
 
+@query("rows_with_any_null", f"""
+    SELECT o_orderkey FROM orders WHERE {hole('o_totalprice', 'o_orderkey', 4)} IS NULL
+        OR {hole('o_orderpriority', 'o_custkey', 9)} IS NULL""")
+def rows_with_any_null(spark, sf):
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.expr(hole("o_totalprice", "o_orderkey", 4)).alias("a"),
+        F.expr(hole("o_orderpriority", "o_custkey", 9)).alias("b"))
+    return orders.where(groups.any_null(["a", "b"])).select("o_orderkey")
+
+
 # ---- missing values -----------------------------------------------------------------------------
 
 MISSING = {

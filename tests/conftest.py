@@ -18,7 +18,6 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", f"{scratch}/shared")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .getOrCreate()
     )

@@ -228,3 +228,19 @@ def test_histogram(spark):
     single = reports.histogram(spark.createDataFrame([(3.0,), (3.0,)], "v double"), "v").collect()
     assert sum(r["count"] for r in single) == 2 and single[10]["count"] == 2 and single[0]["low"] == 2.5
     assert reports.histogram(df.where("v is null"), "v").count() == 0
+
+
+# ---- kept tables --------------------------------------------------------------------------------
+
+def test_pinned_tables(spark, tmp_path, monkeypatch):
+    from tidecart import session
+
+    df = spark.range(10).select(F.col("id"), F.lit("x").alias("odd name (1)"))
+    monkeypatch.setattr(session, "shared_folder", lambda s: str(tmp_path))
+    kept = session.pin(df)
+    assert kept.columns == df.columns and kept.count() == 10
+    assert list(tmp_path.glob("tidecart-*/*.parquet"))
+    monkeypatch.setattr(session, "shared_folder", lambda s: None)
+    cached = session.pin(df)
+    assert cached.storageLevel.useDisk and cached.storageLevel.useMemory
+    cached.unpersist()

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -78,7 +79,8 @@ def appended(df: DataFrame, inputs: list[Column], run: Callable, fields: str, ke
     names = df.columns if keep is None else keep
     kept = [f"k{i}" for i in range(len(names))]
     asked = [f"t{i}" for i in range(len(inputs))]
-    new = [tuple(f.strip().split(" ")) for f in fields.split(",")]
+    added = StructType.fromDDL(fields).fields
+    new = [(f.name, f.dataType.simpleString()) for f in added]
 
     def batches(found):
         import pyarrow as pa
@@ -93,14 +95,12 @@ def appended(df: DataFrame, inputs: list[Column], run: Callable, fields: str, ke
 
     source = df.select(*[column(c).alias(k) for c, k in zip(names, kept)], *[c.alias(t) for c, t in zip(inputs, asked)])
     shape = source.select(*kept).schema
-    for name, kind in new:
-        shape = shape.add(name, kind)
-    out = source.mapInArrow(batches, shape)
+    out = source.mapInArrow(batches, StructType(shape.fields + added))
     return out.select(*[F.col(k).alias(c) for c, k in zip(names, kept)], *[F.col(f) for f, _ in new])
 
 
 def arrow_type(pa, kind: str):
     if kind.startswith("array<"):
         return pa.list_(arrow_type(pa, kind[6:-1]))
-    return {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
+    return {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
             "binary": pa.binary()}[kind]

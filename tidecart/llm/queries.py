@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from tidecart.llm import repetition, simhash
+from tidecart.llm import line_templates, mixing, packing, repetition, simhash
 
 QUERIES = {
+    "op2_poisson_mixing": mixing.poisson_mixing,
+    "op3_line_template_dedup": line_templates.line_dedup,
     "op8_simhash_near_dedup": simhash.fingerprint_links,
+    "op9_best_fit_packing": packing.best_fit_packing,
     "op10_repetition_rules": repetition.repetition_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_poisson_mixing": mixing.POISSON_MIXING_SQL,
+    "op3_line_template_dedup": line_templates.LINE_DEDUP_SQL,
+}

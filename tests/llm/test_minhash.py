@@ -1,0 +1,77 @@
+import hashlib
+import random
+
+import pytest
+
+from tidecart.llm import minhash
+
+SCHEMA = "doc_id long, text string, codes int, n_chars int"
+
+
+def shingles(text):
+    words = (text or "").encode().split()
+    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
+
+
+def jaccard(a, b):
+    a, b = shingles(a), shingles(b)
+    return 1.0 if not a | b else len(a & b) / len(a | b)
+
+
+def corpus():
+    rng = random.Random(11)
+    pool = [f"w{i}" for i in range(500)] + ["é", "日本", "\U0001f600"]
+    texts = [None, "", "  ", "one", "one", " one\n", "a b c d", "a b c d e", "a b c d e "]
+    for n in [6, 10, 20, 40, 80, 160, 320, 640, 3000, 40_000]:
+        for _ in range(6):
+            texts.append(" ".join(rng.choice(pool) for _ in range(n)))
+            if rng.random() < 0.5:
+                texts.append(texts[-1] + rng.choice(["", " more words", "\n"]))
+    return texts
+
+
+def brute(ids, texts):
+    """(n_chars, edited text, next text) by id."""
+    order = sorted(ids)
+    out = {}
+    for k, i in enumerate(order):
+        text, following = texts[i] or "", texts[order[(k + 1) % len(order)]] or ""
+        q = len(text) // 4
+        out[i] = (len(text), text[:len(text) - q] + following[:q], following)
+    return out
+
+
+@pytest.mark.parametrize("rows_per_range", [5, 10_000])
+def test_fingerprints_against_brute_force(spark, rows_per_range):
+    texts = {i * 7 - 30: t for i, t in enumerate(corpus())}
+    docs = spark.createDataFrame([(i, t, 1, 1) for i, t in texts.items()], SCHEMA)
+    got = {r.doc_id: r for r in minhash.fingerprints(docs, rows_per_range=rows_per_range).collect()}
+    want = brute(texts, texts)
+    assert got.keys() == want.keys()
+    by_text, errors = {}, []
+    for i, (n, edited, following) in want.items():
+        r = got[i]
+        assert r.n_chars == n and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        for text, print_ in ((texts[i] or "", r.fingerprint), (edited, r.edited_fingerprint)):
+            assert len(print_) == 256 and by_text.setdefault(text, print_) == print_
+        errors += [abs(r.near_edited - jaccard(texts[i], edited)), abs(r.near_next - jaccard(texts[i], following))]
+        if shingles(texts[i]) == shingles(following):
+            assert r.near_next == 1.0
+    assert sum(errors) / len(errors) < 0.035 and max(errors) < 0.2
+
+
+def test_packed_digits_and_densification(spark):
+    rows = spark.createDataFrame([(1, "a b c"), (2, "")], "doc_id long, text string")
+    codes = {r.doc_id: r.codes for r in minhash.with_codes(rows, "text", "codes").collect()}
+    assert len(set(codes[1])) == 1 and len(codes[1]) == 256 and codes[2] == []
+    got = {r.doc_id: r for r in minhash.fingerprints(rows).collect()}
+    assert got[1].fingerprint == format(codes[1][0], "x") * 256 and got[2].fingerprint == "0" * 256
+    assert got[2].near_edited == 1.0 and got[1].near_next == 0.0
+
+
+def test_odd_ids(spark):
+    docs = spark.createDataFrame([(None, "x y", 1, 1), (5, "a", 1, 1), (5, "a", 1, 1), (2 ** 62, "b", 1, 1)], SCHEMA)
+    assert minhash.fingerprints(docs, rows_per_range=1).count() == 4
+    assert minhash.fingerprints(docs.limit(0)).count() == 0
+    one = minhash.fingerprints(docs.where("text = 'x y'")).first()
+    assert one.near_next == 1.0

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -37,12 +38,12 @@ def bucket_of(name: str, n: int) -> Column:
     return F.pmod(F.crc32(column(name).cast("string")), F.lit(n))
 
 
-def kept_in_worker(name: str, build: Callable):
-    """A value that a Python worker builds once and keeps for its later tasks."""
+def kept_in_worker(slot: str, version, build: Callable):
+    """A value that a Python worker builds once and keeps for its later tasks, until another version is asked for."""
     store = sys.modules.setdefault("_tidecart_worker_store", types.ModuleType("_tidecart_worker_store"))
-    if not hasattr(store, name):
-        setattr(store, name, build())
-    return getattr(store, name)
+    if getattr(store, slot, (None, None))[0] != version:
+        setattr(store, slot, (version, build()))
+    return getattr(store, slot)[1]
 
 
 def attach_unique(big: DataFrame, small: DataFrame, keys: list[str], weight: str) -> DataFrame:
@@ -80,7 +81,7 @@ def appended(df: DataFrame, inputs: list[Column], run: Callable, fields: str, ke
     kept = [f"k{i}" for i in range(len(names))]
     asked = [f"t{i}" for i in range(len(inputs))]
     added = StructType.fromDDL(fields).fields
-    new = [(f.name, f.dataType.simpleString()) for f in added]
+    new = [(f.name, to_arrow_type(f.dataType)) for f in added]
 
     def batches(found):
         import pyarrow as pa
@@ -90,17 +91,10 @@ def appended(df: DataFrame, inputs: list[Column], run: Callable, fields: str, ke
             for at in range(0, batch.num_rows, cut):
                 part = batch.slice(at, cut)
                 values = run(*[part.column(len(kept) + i).to_pylist() for i in range(len(asked))])
-                made = [pa.array(v, type=arrow_type(pa, kind)) for v, (_, kind) in zip(values, new)]
+                made = [pa.array(v, type=kind) for v, (_, kind) in zip(values, new)]
                 yield pa.RecordBatch.from_arrays(part.columns[:len(kept)] + made, names=kept + [f for f, _ in new])
 
     source = df.select(*[column(c).alias(k) for c, k in zip(names, kept)], *[c.alias(t) for c, t in zip(inputs, asked)])
     shape = source.select(*kept).schema
     out = source.mapInArrow(batches, StructType(shape.fields + added))
     return out.select(*[F.col(k).alias(c) for c, k in zip(names, kept)], *[F.col(f) for f, _ in new])
-
-
-def arrow_type(pa, kind: str):
-    if kind.startswith("array<"):
-        return pa.list_(arrow_type(pa, kind[6:-1]))
-    return {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
-            "binary": pa.binary()}[kind]

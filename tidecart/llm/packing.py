@@ -116,11 +116,11 @@ def tokenised(docs: DataFrame, tokenizer_file: str, keep: list[str], text_column
     """One row per piece: the kept columns, piece, start, length, ids_crc32. Null texts are empty ones."""
     with open(tokenizer_file, encoding="utf-8") as f:
         definition = f.read()
-    name = f"encoder_{zlib.crc32(definition.encode()):08x}"
+    version = zlib.crc32(definition.encode())
     end = end_id.to_bytes(4, "little")
 
     def run(texts: list) -> list:
-        encoder = kept_in_worker(name, lambda: WordEncoder(definition))
+        encoder = kept_in_worker("encoder", version, lambda: WordEncoder(definition))
         found = [pieces_of(encoder.encode(t or "") + end, capacity) for t in texts]
         return list(zip(*found)) or [[], [], []]
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from tidecart.llm import line_templates, mixing, packing, repetition, simhash
+from tidecart.llm import langid, line_templates, minhash, mixing, packing, quality, repetition, simhash, toxicity
 
 QUERIES = {
+    "op1_language_id": langid.language_id,
     "op2_poisson_mixing": mixing.poisson_mixing,
     "op3_line_template_dedup": line_templates.line_dedup,
+    "op5_toxicity_chain": toxicity.toxicity_chain,
+    "op6_minhash_fingerprints": minhash.minhash_fingerprints,
+    "op7_quality_classifier": quality.quality_classifier,
     "op8_simhash_near_dedup": simhash.fingerprint_links,
     "op9_best_fit_packing": packing.best_fit_packing,
     "op10_repetition_rules": repetition.repetition_rules,

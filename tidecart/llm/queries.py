@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidecart.llm import langid, line_templates, minhash, mixing, packing, quality, repetition, simhash, toxicity
+from tidecart.llm import chat_tools, langid, line_templates, minhash, mixing, packing, quality, repetition, simhash, toxicity
 
 QUERIES = {
     "op1_language_id": langid.language_id,
     "op2_poisson_mixing": mixing.poisson_mixing,
     "op3_line_template_dedup": line_templates.line_dedup,
+    "op4_tool_call_linking": chat_tools.tool_call_linking,
     "op5_toxicity_chain": toxicity.toxicity_chain,
     "op6_minhash_fingerprints": minhash.minhash_fingerprints,
     "op7_quality_classifier": quality.quality_classifier,
@@ -19,4 +20,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op2_poisson_mixing": mixing.POISSON_MIXING_SQL,
     "op3_line_template_dedup": line_templates.LINE_DEDUP_SQL,
+    "op4_tool_call_linking": chat_tools.TOOL_CALL_SQL,
 }

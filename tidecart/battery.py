@@ -136,6 +136,25 @@ def csv_encodings_detected(spark, sf):
     )
 
 
+@query("csv_quoted_newlines", """
+    SELECT doc_id, replace(text, chr(13), ' ') AS text FROM documents WHERE trim(text) <> ''""")
+def csv_quoted_newlines(spark, sf):
+    out = scratch(spark)
+    docs = table(spark, sf, "documents").where("trim(text) <> ''")
+    docs.select("doc_id", F.replace("text", F.lit("\r"), F.lit(" ")).alias("text")).write.option("header", True).option(
+        "escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(out)
+    return csv_files.read_csv_files(spark, csv_files.csv_files(spark, out)).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
+@query("csv_utf16", f"SELECT doc_id, {ONE_LINE.format(g=", 'g'")} AS text FROM documents WHERE trim(text) <> ''")
+def csv_utf16(spark, sf):
+    out = scratch(spark)
+    docs = table(spark, sf, "documents").where("trim(text) <> ''")
+    docs.select("doc_id", F.regexp_replace("text", r"[\n\r]", " ").alias("text")).write.option("header", True).option(
+        "escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("encoding", "UTF-16").csv(out)
+    return csv_files.read_csv_files(spark, csv_files.csv_files(spark, out)).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 def _ragged(spark, sf):
     """Order lines as raw text rows: every 7th too long, every 5th too short."""
     out = scratch(spark)
@@ -564,6 +583,28 @@ def group_mean_per_row(spark, sf):
     return with_mean.select("o_orderkey", F.round("mean_price", 4).alias("mean_price"))
 
 
+LINE_GROUPS = f"""SELECT l_orderkey, l_linenumber, {hole('l_returnflag', 'l_partkey', 17)} AS g,
+    CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 13 = 0 THEN {{nan}} ELSE l_extendedprice END AS x FROM {{lines}}"""
+
+
+@query("group_repair_with_nan", f"""
+    SELECT l_orderkey, l_linenumber, g, round(coalesce(x, CASE WHEN g IS NOT NULL THEN avg(x) OVER (PARTITION BY g) END), 4) AS x
+    FROM ({LINE_GROUPS.format(nan='NULL', lines='lineitem')})""")
+def group_repair_with_nan(spark, sf):
+    """Each group misses over a twentieth, so all rows stay; the values are attached by a shuffle."""
+    lines = spark.sql(LINE_GROUPS.format(nan="double('NaN')", lines="{l}"), l=table(spark, sf, "lineitem"))
+    return groups.repair_groups(lines, "g", ["x"], max_bytes=0).withColumn("x", F.round("x", 4))
+
+
+@query("repair_groups_by_shuffle", f"""
+    WITH {DROPPED} SELECT p_partkey, g,
+        round(coalesce(a, CASE WHEN g IS NOT NULL THEN avg(a) OVER (PARTITION BY g) END), 6) AS a,
+        round(coalesce(b, CASE WHEN g IS NOT NULL THEN avg(b) OVER (PARTITION BY g) END), 6) AS b FROM kept""")
+def repair_groups_by_shuffle(spark, sf):
+    return groups.repair_groups(_grouped(spark, sf), "g", ["a", "b"], max_bytes=0).withColumns(
+        {"a": F.round("a", 6), "b": F.round("b", 6)})
+
+
 @query("repair_groups", f"""
     WITH {DROPPED} SELECT p_partkey, g,
         round(coalesce(a, CASE WHEN g IS NOT NULL THEN avg(a) OVER (PARTITION BY g) END), 6) AS a,
@@ -812,6 +853,40 @@ def exact_quantiles_query(spark, sf):
     return spark.createDataFrame(rows, "column string, prob double, value double").withColumn("value", F.round("value", 6))
 
 
+SPARSE = ", ".join(f"CASE WHEN event_id % {k} = 0 THEN value END AS every{k}" for k in (3, 7, 29, 131))
+SPARSE_EVENTS = f"SELECT event_id, {SPARSE} FROM events"
+SPARSE_COLUMNS = ["every3", "every7", "every29", "every131"]
+
+
+def _sparse(spark, sf):
+    return spark.sql(SPARSE_EVENTS.replace("FROM events", "FROM {e}"), e=table(spark, sf, "events"))
+
+
+@query("quantiles_small_groups", f"WITH t AS ({SPARSE_EVENTS}) " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {p}::DOUBLE AS prob, round(quantile_cont({c}, {p}), 6) AS value FROM t" for c in SPARSE_COLUMNS for p in PROBS))
+def quantiles_small_groups(spark, sf):
+    found = exact_quantiles(_sparse(spark, sf), dict.fromkeys(SPARSE_COLUMNS, PROBS))
+    rows = [(c, p, v) for c, values in found.items() for p, v in values.items()]
+    return spark.createDataFrame(rows, "column string, prob double, value double").withColumn("value", F.round("value", 6))
+
+
+@query("outliers_sparse_column", outlier_sql(SPARSE_EVENTS, "event_id", SPARSE_COLUMNS))
+def outliers_sparse_column(spark, sf):
+    return _treated(_sparse(spark, sf), SPARSE_COLUMNS)
+
+
+NAN_EVENTS = "SELECT event_id, event_type, CASE WHEN event_id % 6 = 1 THEN {nan} WHEN event_id % 10 = 3 THEN NULL ELSE value END AS value FROM {events}"
+
+
+def _with_nan(spark, sf):
+    return spark.sql(NAN_EVENTS.format(nan="double('NaN')", events="{e}"), e=table(spark, sf, "events"))
+
+
+@query("outliers_with_nan", outlier_sql(NAN_EVENTS.format(nan="NULL", events="events"), "event_id", ["value"]))
+def outliers_with_nan(spark, sf):
+    return _treated(_with_nan(spark, sf).drop("event_type"), ["value"])
+
+
 # ---- profile ------------------------------------------------------------------------------------
 
 PROFILED = f"""SELECT o_orderkey, {hole('o_custkey', 'o_orderkey', 10)} AS o_custkey,
@@ -899,6 +974,29 @@ VALUES = """SELECT * FROM (SELECT {name}, sum(n)::BIGINT AS count, CAST(NULL AS
         FROM (SELECT CAST({c} AS STRING) AS v, count(*) AS n FROM t WHERE {c} IS NOT NULL GROUP BY ALL)))"""
 
 
+@query("describe_sparse_columns", f"WITH t AS ({SPARSE_EVENTS}) " + " UNION ALL ".join(
+    DESCRIBE.replace("{extra}", "").format(c=c, name=f"'{c}' AS \"column\"") for c in SPARSE_COLUMNS))
+def describe_sparse_columns(spark, sf):
+    return _describe_rounded(profile.describe_numeric(_sparse(spark, sf), SPARSE_COLUMNS))
+
+
+@query("profile_with_nan", "WITH t AS (" + NAN_EVENTS.format(nan="NULL", events="events") + ") SELECT n.*, d.* EXCLUDE (\"column\") FROM ("
+       + "SELECT 'value' AS \"column\", count(*) - count(value) AS null_count FROM t) n JOIN ("
+       + DESCRIBE.replace("{extra}", "").format(c="value", name="'value' AS \"column\"") + ") d USING (\"column\")")
+def profile_with_nan(spark, sf):
+    events = _with_nan(spark, sf)
+    return profile.null_counts(events).join(_describe_rounded(profile.describe_numeric(events, ["value"])), "column")
+
+
+@query("histogram_with_nan", "WITH t AS (" + NAN_EVENTS.format(nan="NULL", events="events") + """),
+    m AS (SELECT min(value) AS lo, max(value) AS hi FROM t), b AS (SELECT unnest(range(1, 21))::INT AS bin)
+    SELECT bin, round(lo + (bin - 1) * ((hi - lo) / 20), 6) AS low, round(lo + bin * ((hi - lo) / 20), 6) AS high,
+        (SELECT count(*) FROM t WHERE value IS NOT NULL AND least(20, floor((value - lo) / (hi - lo) * 20) + 1) = bin) AS count
+    FROM b, m""")
+def histogram_with_nan(spark, sf):
+    return _rounded(reports.histogram(_with_nan(spark, sf), "value"), ["low", "high"], 6)
+
+
 @query("describe_all", f"WITH t AS ({PROFILED}) " + " UNION ALL ".join(
     [DESCRIBE.format(c=c, name=f"'{c}' AS \"column\"", extra=", CAST(NULL AS BIGINT) AS \"unique\", "
                      "CAST(NULL AS STRING) AS top, CAST(NULL AS BIGINT) AS freq")
@@ -1057,6 +1155,51 @@ def recipe_exploration_mean_price(spark, sf):
     return _rounded(recipes.explore_products(feed)["mean_price_by_query"], ["price"], 6)
 
 
+def _reports(spark, sf):
+    feed = table(spark, sf, "events").selectExpr(
+        "event_type as query", "concat('title ', event_id) as title", "CAST(user_id AS STRING) as reviews",
+        "CAST(event_id % 50 / CAST(10.0 AS DOUBLE) AS STRING) as rating", "concat('seller ', user_id % 40) as seller_name",
+        """concat("{'offer_price': ", value, "}") as primary_offer""")
+    return recipes.explore_products(feed)
+
+
+@query("recipe_exploration_query_counts", "SELECT event_type AS query, count(*) AS count FROM events GROUP BY ALL")
+def recipe_exploration_query_counts(spark, sf):
+    return _reports(spark, sf)["query_counts"]
+
+
+@query("recipe_exploration_top_sellers", """
+    SELECT 'seller ' || (user_id % 40) AS seller_name, count(*) AS count FROM events GROUP BY ALL ORDER BY count DESC, seller_name LIMIT 10""")
+def recipe_exploration_top_sellers(spark, sf):
+    return _reports(spark, sf)["top_sellers"]
+
+
+@query("recipe_exploration_top_reviews", """
+    SELECT 'title ' || event_id AS title, user_id::DOUBLE AS reviews, CAST((event_id % 50 / 10.0::DOUBLE) AS STRING) AS rating
+    FROM events ORDER BY user_id DESC, title LIMIT 10""")
+def recipe_exploration_top_reviews(spark, sf):
+    return _reports(spark, sf)["top_reviews"]
+
+
+@query("recipe_exploration_rating_describe", "WITH t AS (SELECT event_id % 50 / 10.0::DOUBLE AS rating FROM events) "
+       + DESCRIBE.replace("{extra}", "").format(c="rating", name="'rating' AS \"column\""))
+def recipe_exploration_rating_describe(spark, sf):
+    return _describe_rounded(_reports(spark, sf)["rating_describe"])
+
+
+@query("recipe_exploration_price_describe", "WITH t AS (SELECT nullif(value, 0.0) AS price FROM events) "
+       + DESCRIBE.replace("{extra}", "").format(c="price", name="'price' AS \"column\""))
+def recipe_exploration_price_describe(spark, sf):
+    return _describe_rounded(_reports(spark, sf)["price_describe"])
+
+
+@query("recipe_profile_nulls_and_distinct", per_column(
+    "SELECT {name}, count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS n_unique FROM t"))
+def recipe_profile_nulls_and_distinct(spark, sf):
+    found = recipes.profile_tables(_profiled(spark, sf))
+    return found["nulls"].join(found["unique"], "column")
+
+
 def _marketing(spark, sf, holes: dict[str, int]) -> DataFrame:
     """Orders dressed up as the raw marketing table: every cell is text, some are blank."""
     def blank(text: str, name: str) -> str:

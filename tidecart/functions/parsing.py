@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Markers that mean "missing".
@@ -34,6 +34,12 @@ def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN counts as missing everywhere: operators take it as null on entry."""
+    floats = [n for n, t in df.dtypes if t in ("double", "float")]
+    return df.withColumns({n: nan_to_null(F.col(f"`{n}`")) for n in floats}) if floats else df
+
+
 def parse_number(c: Column) -> Column:
     """Lenient number: keep digits, '-' and '.', then cast. ``USD 12`` is 12, ``1e5`` is 15.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 1000
+HOT_BYTES = 16 * 1024 * 1024
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -43,9 +44,10 @@ def attach(
 
     ``weight`` is the column of ``table`` with the number of rows of ``df`` behind each key; it is
     not part of the result. A table measured to fit (or known to, by ``n_bytes``) is broadcast. A larger one is split: keys that
-    hold at least 1/1000 of all rows, of which there are at most 1000, are broadcast; the other
-    keys are shuffled, and rows of hot keys are spread over that shuffle by a salt that matches
-    nothing.
+    hold half a shuffle task's share of the rows or more are broadcast, as far as they are measured to
+    fit, and else those with a thousandth of all rows, of which there are at most 1000. The other keys
+    are shuffled; rows of hot keys, and of null keys where the table has none, are spread over that
+    shuffle by a salt that matches nothing.
     """
     values = [c for c in table.columns if c not in keys and c != weight]
     renamed = table.select(
@@ -62,11 +64,17 @@ def attach(
         small = F.broadcast(renamed.drop("__weight"))
         return df.join(small, matches, "left").select(*own, *unpack)
 
-    total = renamed.agg(F.sum("__weight")).first()[0]
-    is_hot = F.col("__weight") * HOT_KEYS >= F.lit(total)
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key_columns])
+    total, nulls = renamed.agg(F.sum("__weight"), F.count_if(no_key)).first()
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(HOT_KEYS, 2 * tasks)
+    if share > HOT_KEYS and not fits_broadcast(renamed.where(F.col("__weight") * share >= F.lit(total)), max(max_bytes, HOT_BYTES)):
+        share = HOT_KEYS
+    is_hot = F.col("__weight") * share >= F.lit(total)
     hot = F.broadcast(renamed.where(is_hot).drop("__weight").withColumnRenamed("__values", "__hot"))
     marked = df.join(hot, matches, "left").drop(*key_columns)
-    salt = F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(
+    unmatched = F.lit(False) if nulls else reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    salt = F.when(F.col("__hot").isNull() & ~unmatched, F.lit(0)).otherwise(
         F.lit(1) + F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("int")
     )
     marked = marked.withColumn("__salt", salt)

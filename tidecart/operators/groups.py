@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidecart.functions.parsing import without_nan
 from tidecart.operators.attach import BROADCAST_BYTES, attach
 from tidecart.operators.schema import has_columns
 from tidecart.session import pin
@@ -23,7 +24,7 @@ def group_null_rates(df: DataFrame, group: str, columns: list[str]) -> DataFrame
     """Rows, incomplete rows and their share for each group; the null group is left out."""
     incomplete = F.count_if(any_null(columns))
     return (
-        df.where(F.col(f"`{group}`").isNotNull())
+        without_nan(df).where(F.col(f"`{group}`").isNotNull())
         .groupBy(F.col(f"`{group}`"))
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
@@ -47,11 +48,12 @@ def drop_incomplete_rows(
     """
     if not has_columns(df, [group, *columns]):
         return df
+    df = without_nan(df)
     rates = group_null_rates(df, group, columns).where(F.col("n_incomplete") > 0)
     verdict = pin(rates.select(F.col(f"`{group}`"), F.col("n_rows"), _dropping(threshold).alias("__drop")))
-    marked = attach(df, verdict, [group], "n_rows", max_bytes)
-    gone = any_null(columns) & F.coalesce(F.col("__drop"), F.lit(False))
-    return marked.where(~gone).drop("__drop")
+    holed, whole = _split(df, group, columns)
+    marked = attach(holed, verdict, [group], "n_rows", max_bytes)
+    return marked.where(~F.coalesce(F.col("__drop"), F.lit(False))).drop("__drop").unionByName(whole)
 
 
 def fill_with_group_mean(
@@ -60,13 +62,15 @@ def fill_with_group_mean(
     """Null values become the mean of their group; a group without any value stays null."""
     if not has_columns(df, [group, *columns]):
         return df
+    df = without_nan(df)
     means = pin(
         df.where(F.col(f"`{group}`").isNotNull())
         .groupBy(F.col(f"`{group}`"))
         .agg(F.count(F.lit(1)).alias("n_rows"),
              *[F.avg(F.col(f"`{c}`")).alias(f"__mean_{c}") for c in columns])
     )
-    return _fill(attach(df, means, [group], "n_rows", max_bytes), columns)
+    holed, whole = _split(df, group, columns)
+    return _fill(attach(holed, means, [group], "n_rows", max_bytes), columns).unionByName(_fill(whole, columns))
 
 
 def with_group_mean(
@@ -76,6 +80,7 @@ def with_group_mean(
 
     Aggregate and join, as a window over the group would put a large group in one task.
     """
+    df = without_nan(df)
     means = pin(
         df.where(F.col(f"`{group}`").isNotNull())
         .groupBy(F.col(f"`{group}`"))
@@ -84,8 +89,19 @@ def with_group_mean(
     return attach(df, means, [group], "n_rows", max_bytes)
 
 
+def _split(df: DataFrame, group: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with a hole in a named group, and the rest, which needs nothing and so no join.
+
+    The null group and groups without a hole, which may hold most rows, never meet in a task.
+    """
+    holed = any_null(columns) & F.col(f"`{group}`").isNotNull()
+    return df.where(holed), df.where(~holed)
+
+
 def _fill(df: DataFrame, columns: list[str]) -> DataFrame:
-    filled = {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.col(f"`__mean_{c}`")) for c in columns}
+    """Cells as doubles, holes filled from the group's mean where one was attached."""
+    mean = lambda c: [F.col(f"`__mean_{c}`")] if f"__mean_{c}" in df.columns else []
+    filled = {c: F.coalesce(F.col(f"`{c}`").cast("double"), *mean(c)) for c in columns}
     return df.withColumns(filled).drop(*[f"__mean_{c}" for c in columns])
 
 
@@ -100,6 +116,7 @@ def repair_groups(
     """
     if not has_columns(df, [group, *columns]):
         return df
+    df = without_nan(df)
     incomplete = F.count_if(any_null(columns))
     facts = (
         df.where(F.col(f"`{group}`").isNotNull())
@@ -114,6 +131,7 @@ def repair_groups(
         .withColumn("__drop", _dropping(threshold))
         .drop("n_incomplete", "null_rate")
     )
-    marked = attach(df, pin(facts), [group], "n_rows", max_bytes)
-    gone = any_null(columns) & F.coalesce(F.col("__drop"), F.lit(False))
-    return _fill(marked.where(~gone).drop("__drop"), columns)
+    holed, whole = _split(df, group, columns)
+    marked = attach(holed, pin(facts), [group], "n_rows", max_bytes)
+    kept = marked.where(~F.coalesce(F.col("__drop"), F.lit(False))).drop("__drop")
+    return _fill(kept, columns).unionByName(_fill(whole, columns))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecart.operators.chained import ChainedImputer
 from tidecart.operators.knn import NEIGHBOURS, KnnImputer
-from tidecart.operators.profile import most_correlated
+from tidecart.operators.profile import most_correlated_of
 from tidecart.operators.quantiles import exact_quantiles
 
 # Shares in percent that choose the strategy, and features for a per-column search.
@@ -61,6 +62,15 @@ def fill_median(df: DataFrame, columns: list[str]) -> DataFrame:
     })
 
 
+def complete_rows(df: DataFrame, sets: dict[str, list[str]]) -> dict[str, int]:
+    """For each set of columns the rows that have them all, in one aggregate."""
+    if not sets:
+        return {}
+    present = lambda c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).isNotNull()
+    counts = [F.count_if(reduce(lambda a, b: a & b, map(present, columns))).alias(str(i)) for i, columns in enumerate(sets.values())]
+    return dict(zip(sets, df.agg(*counts).first()))
+
+
 @dataclass
 class SmartImputer:
     """Nearest neighbours below 5 % missing, chained equations below 30 %, the median from there on.
@@ -87,12 +97,10 @@ class SmartImputer:
         if self.per_column:
             if len(eligible) == 1:  # no second column to learn from
                 median, knn, chained = eligible, [], []
+            features_of = most_correlated_of(df, knn, eligible, KNN_FEATURES)
+            complete = complete_rows(df, features_of)
             for c in knn:
-                features = most_correlated(df, c, eligible, KNN_FEATURES)
-                complete = F.lit(True)
-                for f in features:
-                    complete = complete & F.col(f"`{f}`").isNotNull()
-                k = min(NEIGHBOURS, len(df.where(complete).limit(NEIGHBOURS).collect()))
+                features, k = features_of[c], min(NEIGHBOURS, complete[c])
                 if k == 0:
                     median.append(c)
                 else:

@@ -34,7 +34,6 @@ BLOCK_ROWS = 2048
 _RECEIVERS_AT_ONCE = 4096
 _SAMPLES_PER_LEAF = 32
 _MAX_LEAVES = 16_384
-_SINGLE_ROUND_DISTANCES = 3e8
 _DISTANCES_AT_ONCE = 1_000_000
 _TILE = 1 << 16
 _LEAF_BITS = 20
@@ -88,7 +87,7 @@ class Cut:
 
 def _tasks(distances: float) -> int:
     """Tasks for so many distances. Adaptive execution sees only bytes and would merge them all."""
-    return int(min(max(distances / 2e7, 1), 20_000))
+    return int(max(distances / 2e7, 1))
 
 
 def _patterns(x: np.ndarray) -> np.ndarray:
@@ -115,7 +114,7 @@ class KnnImputer:
     k: int = NEIGHBOURS
     targets: list[str] | None = None
     block_rows: int = BLOCK_ROWS
-    single_round: float = _SINGLE_ROUND_DISTANCES  # so little work that ruling blocks out costs more
+    single_round: float = 0.0  # up to so many distances every block is looked at; by default blocks are always ruled out
     max_bytes: int = BROADCAST_BYTES
 
     def fit(self, df: DataFrame) -> KnnImputer:
@@ -201,11 +200,12 @@ class KnnImputer:
             hole = hole | F.col(f"`{t}`").isNull()
         receivers = pin(_vectors(df.where(hole), self.columns, "__w"))
         n = receivers.count()
-        solved = pin(self._solve(receivers, n))
+        solved = self._solve(receivers, n)
         n_bytes = n * 8 * (len(self.columns) + len(self.targets) + 3)  # one row of numbers per receiver
         if n_bytes <= self.max_bytes:
             joined = attach(df, solved, self.columns, "__w", self.max_bytes, n_bytes)
         else:
+            solved = pin(solved)
             complete = df.where(~hole).withColumns(
                 {f"__fill_{t}": F.lit(None).cast("double") for t in self.targets})
             joined = attach(df.where(hole), solved, self.columns, "__w", self.max_bytes, n_bytes).unionByName(complete)
@@ -220,7 +220,7 @@ class KnnImputer:
     # ---- the search -------------------------------------------------------------------------
 
     def _solve(self, receivers: DataFrame, n: int) -> DataFrame:
-        if n * float(self.boxes["vectors"].sum()) <= self.single_round:
+        if len(self.boxes["block"]) <= 1 or n * float(self.boxes["vectors"].sum()) <= self.single_round:
             found = self._search(self._candidates(receivers, n, None), {b: n for b in self.boxes["block"]})
         else:
             candidates = pin(self._candidates(receivers, n, "home"))

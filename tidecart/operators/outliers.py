@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecart.functions.features import clip
+from tidecart.functions.parsing import without_nan
 from tidecart.operators.quantiles import exact_quantiles
 
 # Fence width, the percentages that choose the treatment, the winsorizing quantiles.
@@ -47,6 +48,7 @@ class OutlierTreatment:
 
     def fit(self, df: DataFrame) -> OutlierTreatment:
         self.rules = {}
+        df = without_nan(df)
         numeric = numeric_columns(df)
         columns = [c for c in self.columns if c in numeric]
         probs = [WINSOR_LOW, 0.25, 0.75, WINSOR_HIGH]
@@ -85,6 +87,7 @@ class OutlierTreatment:
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
+        df = without_nan(df)
         treated = {
             c: clip(F.col(f"`{c}`").cast("double"), F.lit(r.low), F.lit(r.high))
             for c, r in self.rules.items() if r.low is not None

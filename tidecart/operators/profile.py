@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecart.functions.parsing import without_nan
 from tidecart.operators.outliers import numeric_columns
 from tidecart.operators.quantiles import exact_quantiles
 
@@ -24,7 +25,7 @@ def _per_column(df: DataFrame, columns: list[str], facts, extra: list[Column] =
 
     ``facts(name)`` gives the row's aggregates by field name.
     """
-    wide = df.agg(*extra, *[
+    wide = without_nan(df).agg(*extra, *[
         F.struct(F.lit(c).alias("column"), *[v.alias(k) for k, v in facts(c).items()]).alias(f"__{i}")
         for i, c in enumerate(columns)
     ])
@@ -73,7 +74,7 @@ def value_frequencies(df: DataFrame, columns: list[str] | None = None) -> DataFr
         F.struct(F.lit(c).alias("column"), _col(c).cast("string").alias("value")) for c in columns
     ])
     return (
-        df.select(F.inline(cells))
+        without_nan(df).select(F.inline(cells))
         .where(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -156,7 +157,7 @@ def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson correlation of each pair of columns over the rows where both are present."""
     columns = columns or numeric_columns(df)
     pairs = list(combinations(columns, 2))
-    wide = df.agg(*[F.corr(_col(a).cast("double"), _col(b).cast("double")).alias(f"__{i}")
+    wide = without_nan(df).agg(*[F.corr(_col(a).cast("double"), _col(b).cast("double")).alias(f"__{i}")
                     for i, (a, b) in enumerate(pairs)])
     rows = []
     for i, (a, b) in enumerate(pairs):
@@ -168,16 +169,24 @@ def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
+def most_correlated_of(df: DataFrame, targets: list[str], columns: list[str], n: int = 6) -> dict[str, list[str]]:
+    """For each target, itself and the columns with the largest absolute correlation to it; one aggregate for all."""
+    pairs = sorted({tuple(sorted((t, c))) for t in targets for c in columns if c != t})
+    if not pairs:
+        return {t: [t] for t in targets}
+    row = without_nan(df).agg(*[F.corr(_col(a).cast("double"), _col(b).cast("double")).alias(str(i)) for i, (a, b) in enumerate(pairs)]).first()
+    strength = {p: -1.0 if v is None or v != v else abs(v) for p, v in zip(pairs, row)}
+    found = {}
+    for t in targets:
+        others = [c for c in columns if c != t]
+        others.sort(key=lambda c: -strength[tuple(sorted((t, c)))])  # stable: ties keep their order
+        found[t] = [t, *others[: n - 1]]
+    return found
+
+
 def most_correlated(df: DataFrame, target: str, columns: list[str], n: int = 6) -> list[str]:
     """The target itself and the columns with the largest absolute correlation to it."""
-    others = [c for c in columns if c != target]
-    if not others:
-        return [target]
-    row = df.agg(*[F.corr(_col(target).cast("double"), _col(c).cast("double")).alias(str(i))
-                   for i, c in enumerate(others)]).first()
-    strength = [(-1.0 if v is None or v != v else abs(v)) for v in row]
-    ranked = sorted(range(len(others)), key=lambda i: (-strength[i], i))
-    return [target] + [others[i] for i in ranked[: n - 1]]
+    return most_correlated_of(df, [target], columns, n)[target]
 
 
 def column_documents(df: DataFrame, n_samples: int = 5) -> DataFrame:

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GATHER_VALUES = 50_000
+GATHER_VALUES = 5_000
 _SKETCH = 10_000
 _STEPS = 256
 
@@ -66,16 +66,17 @@ def exact_quantiles(
                 continue
             ends[c] = (first[f"lo{i}"], first[f"hi{i}"])
             place = p * (n - 1)
-            low, high = first[f"q{i}"][2 * j], first[f"q{i}"][2 * j + 1]
+            low, high, expected = first[f"q{i}"][2 * j], first[f"q{i}"][2 * j + 1], n * 5 / _SKETCH
+            if n <= gather:  # few enough to look at all; a sketch's bracket could miss the next rank
+                low, high, expected = *ends[c], n
             open_brackets.append(
-                _Bracket(c, p, math.floor(place), math.ceil(place), place - math.floor(place),
-                         low, high, n * 5 / _SKETCH)
-            )
+                _Bracket(c, p, math.floor(place), math.ceil(place), place - math.floor(place), low, high, expected))
     todo = open_brackets
     while todo:
         small = [b for b in todo if b.expected <= gather]
-        missed = _gather(df, x, small, gather) if small else []
-        large = [b for b in todo if b.expected > gather] + missed
+        large = [b for b in todo if b.expected > gather]  # before the next line makes missed ones large
+        large += _gather(df, x, small, gather) if small else []
+        assert len(set(map(id, large))) == len(large)
         if large:
             _narrow(df, x, large, ends)
         todo = [b for b in large if b.answer is None]

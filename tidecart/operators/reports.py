@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidecart.functions.parsing import without_nan
+
 
 def _col(name: str):
     return F.col(f"`{name}`")
@@ -13,7 +15,7 @@ def _col(name: str):
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Non-null values with their counts, most frequent first; the value settles ties."""
     return (
-        df.where(_col(column).isNotNull())
+        without_nan(df).where(_col(column).isNotNull())
         .groupBy(_col(column)).agg(F.count(F.lit(1)).alias("count"))
         .orderBy(F.col("count").desc(), _col(column))
     )
@@ -26,14 +28,14 @@ def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
 def top_rows(df: DataFrame, columns: list[str], by: str, n: int = 10) -> DataFrame:
     """The n rows with the largest value, nulls last; the other columns settle ties."""
     ties = [_col(c) for c in columns if c != by]
-    return df.select(*map(_col, columns)).orderBy(_col(by).desc_nulls_last(), *ties).limit(n)
+    return without_nan(df.select(*map(_col, columns))).orderBy(_col(by).desc_nulls_last(), *ties).limit(n)
 
 
 def group_means(df: DataFrame, group: str, value: str, name: str | None = None) -> DataFrame:
     """Mean per non-null group, largest first, groups without a value last."""
     name = name or value
     return (
-        df.where(_col(group).isNotNull())
+        without_nan(df).where(_col(group).isNotNull())
         .groupBy(_col(group)).agg(F.avg(_col(value)).alias(name))
         .orderBy(F.col(name).desc_nulls_last(), _col(group))
     )
@@ -44,7 +46,8 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
     A column with a single value gets the unit interval around it. Empty bins are listed too.
     """
-    x = _col(column).cast("double")
+    df = without_nan(df.select(_col(column).cast("double").alias(column)))
+    x = _col(column)
     low, high = df.agg(F.min(x), F.max(x)).first()
     spark = df.sparkSession
     if low is None:

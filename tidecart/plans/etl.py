@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import traceback
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,11 +19,12 @@ class TableResult:
     table: str
     rows: int | None = None
     error: str | None = None
+    trace: str | None = None
 
 
 def run_etl(
     spark: SparkSession, source_folder: str, clean_folder: str, overwrite: bool = False,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> list[TableResult]:
     """Clean every file, write it as CSV and load it as a table.
 
@@ -42,7 +44,7 @@ def run_etl(
             result.rows = written.get["rows"]
             tables.load_table(clean, result.table, overwrite)
         except Exception as failure:
-            result.error = f"{type(failure).__name__}: {failure}"
+            result.error, result.trace = f"{type(failure).__name__}: {failure}", traceback.format_exc()
     failed = [r for r in results if r.error]
     if failed:
         raise RuntimeError("; ".join(f"{r.table}: {r.error}" for r in failed))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,22 @@ from tidecart.functions.parsing import latin1_to_cp1252, null_markers_to_null, r
 # Candidate encodings in order of preference. latin-1 reads any byte and so ends the list.
 ENCODINGS = ["utf-8", "cp1252", "latin-1"]
 _CORRUPT = "_corrupt_record"
+# What Spark's reader is told for an encoding. cp1252 is read as latin-1 and moved afterwards.
+CHARSETS = {"utf-8": "UTF-8", "cp1252": "ISO-8859-1", "latin-1": "ISO-8859-1", "utf-16": "UTF-16", "utf-32": "UTF-32"}
+_NAMES = {"ascii": "utf-8", "utf_8_sig": "utf-8", "iso8859-1": "latin-1", "utf-16-le": "utf-16", "utf-16-be": "utf-16"}
+WIDE = ("utf-16", "utf-32")
+
+
+def encoding_name(name: str) -> str:
+    """One of the encodings that are read here, whatever its spelling; an error for any other."""
+    try:
+        known = codecs.lookup(name).name
+    except LookupError:
+        known = name
+    known = _NAMES.get(known, known)
+    if known not in CHARSETS:
+        raise ValueError(f"cannot read encoding {name!r}; known are {', '.join(CHARSETS)}")
+    return known
 
 
 def csv_files(spark: SparkSession, folder: str) -> list[str]:
@@ -34,25 +51,41 @@ def detect_encodings(spark: SparkSession, paths: str | Iterable[str]) -> DataFra
     comes down to two flags: is every line valid UTF-8, and is it free of the bytes cp1252 leaves
     undefined.
     """
+    return file_facts(spark, paths).select("path", "encoding")
+
+
+def file_facts(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """(path, encoding, multi_line) for each file, from one pass over all of its bytes.
+
+    A byte-order mark of UTF-16 or UTF-32 at the start settles the encoding. ``multi_line`` is set
+    where a line has an odd number of quotes: a quoted field may go on in the next line.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    undefined = F.decode(F.col("value").cast("binary"), "ISO-8859-1").rlike("[\\x81\\x8d\\x8f\\x90\\x9d]")
+    raw = F.col("value").cast("binary")
+    undefined = F.decode(raw, "ISO-8859-1").rlike("[\\x81\\x8d\\x8f\\x90\\x9d]")
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    mark = F.hex(F.substring(raw, 1, 4))
+    at_start = F.col("_metadata.file_block_start") == 0
     flags = (
         spark.read.text(paths)
         .groupBy(F.col("_metadata.file_path").alias("path"))
-        .agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_and(~undefined).alias("cp1252"))
+        .agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_and(~undefined).alias("cp1252"),
+             F.bool_or(quotes % 2 == 1).alias("odd"),
+             F.bool_or(at_start & mark.rlike("^(FFFE0000|0000FEFF)")).alias("utf32"),
+             F.bool_or(at_start & mark.rlike("^(FFFE|FEFF)")).alias("utf16"))
     )
     utf8, cp1252, latin1 = ENCODINGS
-    return flags.select(
-        "path",
-        F.when(F.col("utf8"), utf8).when(F.col("cp1252"), cp1252).otherwise(latin1).alias("encoding"),
-    )
+    narrow = F.when(F.col("utf8"), utf8).when(F.col("cp1252"), cp1252).otherwise(latin1)
+    encoding = F.when(F.col("utf32"), "utf-32").when(F.col("utf16"), "utf-16").otherwise(narrow)
+    return flags.select("path", encoding.alias("encoding"), F.col("odd").alias("multi_line"))
 
 
 def _reader(spark: SparkSession, encoding: str, multi_line: bool):
+    # lines are cut before they are decoded, so wide characters need whole files
     return (
         spark.read.option("header", True).option("quote", '"').option("escape", '"')
-        .option("multiLine", multi_line).option("mode", "PERMISSIVE")
-        .option("encoding", "UTF-8" if encoding == "utf-8" else "ISO-8859-1")
+        .option("multiLine", multi_line or encoding in WIDE).option("mode", "PERMISSIVE")
+        .option("encoding", CHARSETS[encoding])
     )
 
 
@@ -74,24 +107,27 @@ def read_csv(
     path: str | list[str],
     encoding: str | None = None,
     long_rows: str = "truncate",
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     repair_text: bool = False,
 ) -> DataFrame:
     """A headered CSV as an all-string table with null markers turned into null.
 
     Short rows are padded with null. Rows with too many fields are cut to the header
-    (``long_rows='truncate'``) or left out (``'drop'``). ``multi_line`` allows quoted newlines but
-    makes a file one task; convert such files to parquet once. ``repair_text`` undoes UTF-8 that was
-    decoded as latin-1 before the file was written.
+    (``long_rows='truncate'``) or left out (``'drop'``). Quoted newlines are kept: files that may hold
+    some, by a test over all of their bytes, are read as a whole, each by one task; convert such files
+    to parquet once. ``multi_line`` settles this without the test. ``repair_text`` undoes UTF-8 that
+    was decoded as latin-1 before the file was written.
     """
     if long_rows not in ("truncate", "drop"):
         raise ValueError("long_rows must be 'truncate' or 'drop'")
-    if encoding is None:
-        paths = [path] if isinstance(path, str) else path
-        found = {r["encoding"] for r in detect_encodings(spark, paths).collect()} or {ENCODINGS[0]}
-        if len(found) > 1:
+    encoding = None if encoding is None else encoding_name(encoding)
+    if encoding is None or multi_line is None:
+        facts = file_facts(spark, [path] if isinstance(path, str) else path)
+        found = facts.agg(F.collect_set("encoding"), F.bool_or("multi_line")).first()
+        multi_line = bool(found[1]) if multi_line is None else multi_line
+        if encoding is None and len(found[0]) > 1:
             raise ValueError("files of different encodings: use read_csv_files")
-        encoding = found.pop()
+        encoding = encoding or (found[0] or ENCODINGS)[0]
 
     names = _reader(spark, encoding, multi_line).csv(path).columns
     raw = StructType([StructField(n, StringType()) for n in names])
@@ -127,6 +163,7 @@ def _field_count(record):
 
 def ragged_row_counts(spark: SparkSession, path: str, encoding: str = "utf-8", multi_line: bool = False) -> DataFrame:
     """How many rows have fewer or more fields than the header: (n_rows, n_short, n_long)."""
+    encoding = encoding_name(encoding)
     names = _reader(spark, encoding, multi_line).csv(path).columns
     rows = _tagged_rows(spark, path, names, encoding, multi_line)
     fields, last = _field_count(F.col(_CORRUPT)), F.col(f"`{names[-1]}`")
@@ -139,10 +176,10 @@ def ragged_row_counts(spark: SparkSession, path: str, encoding: str = "utf-8", m
 
 def read_csv_files(spark: SparkSession, paths: list[str], **options) -> DataFrame:
     """Several files of one layout, each in its own encoding, as one table."""
-    groups: dict[str, list[str]] = {}
-    for row in detect_encodings(spark, paths).collect():
-        groups.setdefault(row["encoding"], []).append(row["path"])
-    parts = [read_csv(spark, group, encoding=e, **options) for e, group in sorted(groups.items())]
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for row in file_facts(spark, paths).collect():
+        groups.setdefault((row["encoding"], row["multi_line"]), []).append(row["path"])
+    parts = [read_csv(spark, group, **{"encoding": e, "multi_line": m} | options) for (e, m), group in sorted(groups.items())]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part, allowMissingColumns=True)

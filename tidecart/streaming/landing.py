@@ -12,14 +12,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidecart.functions.parsing import null_markers_to_null
+from tidecart.functions.parsing import latin1_to_cp1252, null_markers_to_null
+from tidecart.sources.csv_files import CHARSETS, WIDE, encoding_name
 
 
-def read_landing(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
-    """New CSV files of a folder as an all-string stream with null markers turned into null."""
+def read_landing(
+    spark: SparkSession, folder: str, columns: list[str], encoding: str = "utf-8", multi_line: bool = True
+) -> DataFrame:
+    """New CSV files of a folder as an all-string stream with null markers turned into null.
+
+    A stream cannot test a file before it reads it: the encoding is named, and files are read as a
+    whole so that quoted newlines are kept. ``multi_line=False`` splits large files without any.
+    """
+    encoding = encoding_name(encoding)
     layout = ", ".join(f"`{c}` string" for c in columns)
-    raw = spark.readStream.schema(layout).option("header", True).option("escape", '"').csv(folder)
-    return raw.select(*[null_markers_to_null(F.col(f"`{c}`")).alias(c) for c in columns])
+    raw = (
+        spark.readStream.schema(layout).option("header", True).option("escape", '"')
+        .option("multiLine", multi_line or encoding in WIDE).option("encoding", CHARSETS[encoding]).csv(folder)
+    )
+    cell = lambda c: latin1_to_cp1252(c) if encoding == "cp1252" else c
+    return raw.select(*[null_markers_to_null(cell(F.col(f"`{c}`"))).alias(c) for c in columns])
 
 
 def append_clean(

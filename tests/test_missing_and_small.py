@@ -84,3 +84,21 @@ def test_encodings_by_name_and_mark(spark, tmp_path):
     found = {r.path[-5]: (r.encoding, r.multi_line) for r in csv_files.file_facts(spark, str(tmp_path)).collect()}
     assert {k: v[0] for k, v in found.items()} == {"a": "utf-8", "b": "cp1252", "c": "utf-16", "d": "utf-32"}
     assert found["a"][1] and found["b"][1]
+
+
+def test_chained_equations_take_any_number_of_columns(spark):
+    from tests.test_impute import brute_chained
+    from tidecart.operators.chained import ChainedImputer
+
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(120, 3))
+    full = base @ rng.normal(size=(3, 16)) + 0.1 * rng.normal(size=(120, 16))
+    table = np.where(rng.random(full.shape) < 0.1, np.nan, full)
+    names = [f"c{i}" for i in range(16)]
+    df = spark.createDataFrame([(i, *[None if math.isnan(v) else float(v) for v in r]) for i, r in enumerate(table)],
+                               "i int, " + ", ".join(f"{n} double" for n in names))
+    model = ChainedImputer(names).fit(df)
+    got = np.array([[r[n] for n in names] for r in model.transform(df).orderBy("i").collect()])
+    want = brute_chained(table)
+    want = want[0] if isinstance(want, tuple) else want
+    assert np.allclose(got, want, atol=1e-6)

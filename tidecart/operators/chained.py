@@ -5,19 +5,24 @@ missing. All regressions are linear, so for the rows of one missing pattern ever
 linear function of the cells that are present. The cross products of the *filled* table therefore
 follow from the cross products of the *present* cells per pattern: one aggregate. All rounds are
 then small matrix algebra, a second aggregate finds the round at which the changes became small,
-and the result is one projection.
+and the result is one projection. Only patterns that occur are ever looked at, so the number of
+columns is not limited; those of new rows are worked out from the regressions, batch by batch.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Rounds and stopping share of the largest present value; the regression's priors,
 # iterations and tolerance.
 ROUNDS = 10
@@ -26,7 +31,7 @@ PRIOR = 1e-6
 RIDGE_ITERATIONS = 300
 RIDGE_TOLERANCE = 1e-3
 
-MAX_COLUMNS = 12  # 2**12 patterns keep every table here small enough for a broadcast
+Regression = tuple[int, np.ndarray, float]  # column, weights of the other columns, constant
 
 
 def bayesian_ridge(gram: np.ndarray, cross: np.ndarray, square: float, n: int) -> np.ndarray:
@@ -57,6 +62,31 @@ def bayesian_ridge(gram: np.ndarray, cross: np.ndarray, square: float, n: int) -
     return solve()[0]
 
 
+def presence(patterns: list[str]) -> np.ndarray:
+    """Patterns such as ``1101`` as rows of booleans."""
+    return np.array([[c == "1" for c in p] for p in patterns], dtype=bool)
+
+
+def replayed(present: np.ndarray, rounds: list[list[Regression]]) -> list[np.ndarray]:
+    """Per round, the maps (pattern, column, 1 + columns) from present to filled cells."""
+    n, k = present.shape
+    maps = np.zeros((n, k, k + 1))
+    maps[:, np.arange(k), np.arange(1, k + 1)] = present
+    history = [maps.copy()]
+    for regressions in rounds:
+        for j, w, base in regressions:
+            _refill(maps, present, j, w, base)
+        history.append(maps.copy())
+    return history
+
+
+def _refill(maps: np.ndarray, present: np.ndarray, j: int, w: np.ndarray, base: float) -> None:
+    holes = ~present[:, j]
+    update = np.einsum("o,poc->pc", w, np.delete(maps[holes], j, axis=1))
+    update[:, 0] += base
+    maps[holes, j] = update
+
+
 @dataclass
 class ChainedImputer:
     """Fill the holes of ``targets`` from regressions among ``columns``."""
@@ -66,20 +96,14 @@ class ChainedImputer:
     rounds: int = ROUNDS
     means: dict[str, float] = field(default_factory=dict)
 
-    def __post_init__(self) -> None:
-        if len(self.columns) > MAX_COLUMNS:
-            raise ValueError(f"at most {MAX_COLUMNS} columns can be chained")
-
     def _centred(self) -> list[Column]:
         """Distance from the column mean, 0 where missing."""
         return [F.coalesce(F.col(f"`{c}`").cast("double") - F.lit(self.means[c]), F.lit(0.0))
                 for c in self.columns]
 
     def _pattern(self) -> Column:
-        """Bit i set where column i is present."""
-        bits = [F.when(F.col(f"`{c}`").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
-                for i, c in enumerate(self.columns)]
-        return sum(bits[1:], bits[0])
+        """A text with 1 where a column is present."""
+        return F.concat(*[F.when(F.col(f"`{c}`").isNotNull(), F.lit("1")).otherwise(F.lit("0")) for c in self.columns])
 
     def fit(self, df: DataFrame) -> ChainedImputer:
         k = len(self.columns)
@@ -108,86 +132,91 @@ class ChainedImputer:
         for i, j in pairs:
             moments[:, i + 1, j + 1] = moments[:, j + 1, i + 1] = sums[f"p{i}_{j}"]
 
-        history = self._run(sums["pattern"].to_numpy(dtype=np.int64), moments, order)
-        self._choose(df, history, stop)
+        self.regressions = self._run(presence(list(sums["pattern"])), moments, order)
+        self._choose(df, stop)
         return self
 
-    def _run(self, seen: np.ndarray, moments: np.ndarray, order: list[int]) -> list[np.ndarray]:
-        """Per round, the maps (pattern, column, 1 + columns) from present to filled cells."""
+    def _run(self, present: np.ndarray, moments: np.ndarray, order: list[int]) -> list[list[Regression]]:
+        """The regressions of every round over the patterns that occur."""
         k = len(self.columns)
-        present = (np.arange(1 << k)[:, None] >> np.arange(k)) & 1 == 1
-        maps = np.zeros((1 << k, k, k + 1))
-        maps[:, np.arange(k), np.arange(1, k + 1)] = present
-        history = [maps.copy()]
         if k == 1:
-            return history
+            return []
+        maps = replayed(present, [])[0]
+        rounds = []
         for _ in range(self.rounds):
+            done = []
             for j in order:
                 others = [i for i in range(k) if i != j]
-                has = present[seen, j]
-                t, m = maps[seen[has]], moments[has]
+                has = present[:, j]
+                t, m = maps[has], moments[has]
                 total = np.einsum("pac,pcd,pbd->ab", t, m, t, optimize=True)
                 sums = np.einsum("pac,pc->a", t, m[:, :, 0])
                 n = m[:, 0, 0].sum()
                 centred = total - np.outer(sums, sums) / n
                 w = bayesian_ridge(centred[np.ix_(others, others)], centred[others, j], centred[j, j], int(n))
-                base = (sums[j] - w @ sums[others]) / n
-                holes = ~present[:, j]
-                update = np.einsum("o,poc->pc", w, maps[holes][:, others, :])
-                update[:, 0] += base
-                maps[holes, j] = update
-            history.append(maps.copy())
-        return history
-
-    def _choose(self, df: DataFrame, history: list[np.ndarray], stop: float) -> None:
+                done.append((j, w, (sums[j] - w @ sums[others]) / n))
+                _refill(maps, present, *done[-1])
+            rounds.append(done)
+        return rounds
+
+    def _choose(self, df: DataFrame, stop: float) -> None:
         """Stop after the first round in which no row changed by ``stop`` or more in total."""
-        self.rounds_used = len(history) - 1
-        self.maps = history[-1]
-        if self.rounds_used == 0:
+        rounds = self.regressions
+        if not rounds:
             return
-        k = len(self.columns)
-        steps = np.stack([b - a for a, b in zip(history, history[1:])])
+        n_rounds, whole = len(rounds), "1" * len(self.columns)
 
         def changes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                pattern = batch["__pattern"].to_numpy(dtype=np.int64)
                 z = np.column_stack([np.ones(len(batch)), batch.drop(columns="__pattern").to_numpy(dtype=float)])
-                largest = np.zeros(len(steps))
-                for p in np.unique(pattern):
-                    moved = np.abs(np.einsum("rjc,nc->rnj", steps[:, p], z[pattern == p])).sum(axis=2)
+                largest = np.zeros(n_rounds)
+                for pattern, at in batch.groupby("__pattern").indices.items():
+                    maps = np.concatenate(replayed(presence([pattern]), rounds))
+                    moved = np.abs(np.einsum("rjc,nc->rnj", np.diff(maps, axis=0), z[at])).sum(axis=2)
                     largest = np.maximum(largest, moved.max(axis=1))
-                yield pd.DataFrame([largest], columns=[f"r{i}" for i in range(len(steps))])
+                yield pd.DataFrame([largest], columns=[f"r{i}" for i in range(n_rounds)])
 
-        full = (1 << k) - 1
         named = [c.alias(f"z{i}") for i, c in enumerate(self._centred())]
         moved = (
             df.select(self._pattern().alias("__pattern"), *named)
-            .where(F.col("__pattern") != full)
-            .mapInPandas(changes, ", ".join(f"r{i} double" for i in range(len(steps))))
-            .agg(*[F.max(f"r{i}").alias(f"r{i}") for i in range(len(steps))])
+            .where(F.col("__pattern") != whole)
+            .mapInPandas(changes, ", ".join(f"r{i} double" for i in range(n_rounds)))
+            .agg(*[F.max(f"r{i}").alias(f"r{i}") for i in range(n_rounds)])
             .first()
         )
-        for i in range(len(steps)):
+        for i in range(n_rounds):
             if moved[i] is None or moved[i] < stop:
-                self.rounds_used, self.maps = i + 1, history[i + 1]
+                self.regressions = rounds[: i + 1]
                 break
 
+    @property
+    def rounds_used(self) -> int:
+        return len(self.regressions)
+
     def fills(self, df: DataFrame) -> DataFrame:
-        """``df`` plus ``__fill_<target>``: one broadcast lookup by pattern and one projection."""
-        k = len(self.columns)
+        """``df`` plus ``__fill_<target>``, lazily: one projection that asks Python for the fills of rows with a hole."""
+        rounds, width = self.regressions, len(self.targets)
         target_at = [self.columns.index(t) for t in self.targets]
-        rows = [(int(p), [float(v) for v in self.maps[p, target_at].ravel()]) for p in range((1 << k) - 1)]
-        table = df.sparkSession.createDataFrame(rows, "__pattern int, __weights array<double>")
+        means = [self.means[t] for t in self.targets]
+
+        @F.pandas_udf("array<double>")
+        def filled(pattern: pd.Series, *z: pd.Series) -> pd.Series:
+            cells = [np.ones(len(pattern)), *[c.to_numpy(dtype=float) for c in z]]
+            out = np.empty((len(pattern), width))
+            for p, at in pattern.groupby(pattern).indices.items():
+                maps = replayed(presence([p]), rounds)[-1][0]
+                for i, (row, mean) in enumerate(zip(target_at, means)):
+                    value = np.full(len(at), mean)
+                    for weight, cell in zip(maps[row], cells):
+                        value = value + weight * cell[at]
+                    out[at, i] = value
+            return pd.Series(list(out), index=pattern.index)
+
         clean = df.withColumns({c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) for c in self.columns})
-        joined = clean.join(F.broadcast(table), self._pattern() == F.col("__pattern"), "left")
-        terms = [F.lit(1.0), *self._centred()]
-        fills = {}
-        for row, t in enumerate(self.targets):
-            value = F.lit(self.means[t])
-            for i, term in enumerate(terms):
-                value = value + F.col("__weights")[row * (k + 1) + i] * term
-            fills[f"__fill_{t}"] = value
-        return joined.withColumns(fills).drop("__pattern", "__weights")
+        with_fills = clean.withColumn("__fills", filled(self._pattern(), *self._centred()))
+        whole = self._pattern() == "1" * len(self.columns)
+        picked = {f"__fill_{t}": F.when(~whole, F.col("__fills")[i]) for i, t in enumerate(self.targets)}
+        return with_fills.withColumns(picked).drop("__fills")
 
     def transform(self, df: DataFrame) -> DataFrame:
         filled = {t: F.coalesce(F.col(f"`{t}`"), F.col(f"`__fill_{t}`")) for t in self.targets}

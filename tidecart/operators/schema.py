@@ -67,6 +67,7 @@ class LowValueColumns:
             row.update(df.agg(*exact).first().asDict())
         if row["rows"] == 0:
             return self
+        asked = []
         for i, name in enumerate(df.columns):
             missing = (row["rows"] - row[f"filled{i}"]) / row["rows"] * 100
             if missing > MOSTLY_MISSING_PERCENT:
@@ -74,11 +75,29 @@ class LowValueColumns:
             elif row[f"single{i}"]:
                 self.reasons[name] = "one value only"
             elif name in self.identifiers:
-                # on its own, as a distinct count would otherwise drag every aggregate through it
-                unique = df.where(F.col(f"`{name}`").isNotNull()).select(f"`{name}`").distinct().count()
-                if unique > row["rows"] * NEARLY_UNIQUE_SHARE:
-                    self.reasons[name] = "identifier"
+                asked.append(name)
+        for name in self._nearly_unique(df, asked, row["rows"] * NEARLY_UNIQUE_SHARE):
+            self.reasons[name] = "identifier"
         return self
 
+    def _nearly_unique(self, df: DataFrame, names: list[str], least: float) -> list[str]:
+        """The columns with more than ``least`` different values.
+
+        Different hashes are different values, so counting hashes, for all columns in one job, proves
+        nearly every case; only a column that falls just short is counted by its values.
+        """
+        if not names:
+            return []
+        cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{n}`").isNotNull().alias("there"), F.xxhash64(F.col(f"`{n}`")).alias("h"))
+                          for i, n in enumerate(names)])
+        counted = df.select(F.inline(cells)).where("there").select("i", "h").distinct().groupBy("i").count()
+        hashes = {r["i"]: r["count"] for r in counted.collect()}
+        found = [n for i, n in enumerate(names) if hashes.get(i, 0) > least]
+        for i, n in enumerate(names):
+            if n not in found and hashes.get(i, 0) > 0.999 * least:
+                exact = df.where(F.col(f"`{n}`").isNotNull()).select(f"`{n}`").distinct().count()
+                found += [n] if exact > least else []
+        return found
+
     def transform(self, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in self.reasons])

@@ -102,3 +102,21 @@ def test_chained_equations_take_any_number_of_columns(spark):
     want = brute_chained(table)
     want = want[0] if isinstance(want, tuple) else want
     assert np.allclose(got, want, atol=1e-6)
+
+
+def test_pinned_tables_are_released(spark, tmp_path, monkeypatch):
+    from tidecart import session
+    from tidecart.operators.knn import KnnImputer
+
+    rows = [(float(i), float(i % 7) if i % 9 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    monkeypatch.setattr(session, "shared_folder", lambda spark: f"file://{tmp_path}")
+    with session.pinned_tables():
+        assert KnnImputer(["a", "b"]).fit(df).transform(df).where("b is null").count() == 0
+        assert len(list(tmp_path.glob("tidecart-*"))) > 1
+    assert list(tmp_path.iterdir()) == []
+    monkeypatch.setattr(session, "shared_folder", lambda spark: None)
+    with session.pinned_tables():
+        kept = session.pin(df)
+        assert kept.count() == 200 and kept.storageLevel.useMemory
+    assert not kept.storageLevel.useMemory

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -30,16 +32,44 @@ def shared_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+_open: list[list[tuple[SparkSession, DataFrame | str]]] = []  # what each open ``pinned_tables`` has to release
+
+
 def pin(df: DataFrame) -> DataFrame:
-    """Keep a table that several jobs read.
+    """Keep a table that several jobs read, until the ``pinned_tables`` around it closes, if there is one.
 
     With a shared folder it is written there as parquet: later jobs prune columns, the lineage is
     cut, and a lost executor costs nothing. Without one it is cached and rebuilt from its lineage
     where blocks are lost.
     """
-    folder = shared_folder(df.sparkSession)
+    spark, folder = df.sparkSession, shared_folder(df.sparkSession)
     if folder is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = f"{folder.rstrip('/')}/tidecart-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        held: DataFrame | str = kept
+    else:
+        held = f"{folder.rstrip('/')}/tidecart-{uuid.uuid4().hex}"
+        df.write.parquet(held)
+        kept = spark.read.parquet(held)
+    if _open:
+        _open[-1].append((spark, held))
+    return kept
+
+
+@contextmanager
+def pinned_tables() -> Iterator[None]:
+    """Release on leaving what was pinned inside: write results before that.
+
+    ``with pinned_tables(): clean(raw).write.parquet(out)``
+    """
+    held: list[tuple[SparkSession, DataFrame | str]] = []
+    _open.append(held)
+    try:
+        yield
+    finally:
+        _open.remove(held)
+        for spark, what in held:
+            if isinstance(what, str):
+                place = spark._jvm.org.apache.hadoop.fs.Path(what)
+                place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            else:
+                what.unpersist()

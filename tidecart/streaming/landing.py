@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidecart.functions.parsing import latin1_to_cp1252, null_markers_to_null
+from tidecart.session import pinned_tables
 from tidecart.sources.csv_files import CHARSETS, WIDE, encoding_name
 
 
@@ -39,11 +40,12 @@ def append_clean(
 ) -> StreamingQuery:
     """Clean what has landed since the last run, append it as parquet, and stop.
 
-    Each micro-batch replaces its own folder, so a batch that is run again after a failure does
+    Tables that the model pins go with their batch. Each micro-batch replaces its own folder, so a batch that is run again after a failure does
     not add its rows twice.
     """
     def write(batch: DataFrame, number: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={number}")
+        with pinned_tables():
+            transform(batch).write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={number}")
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

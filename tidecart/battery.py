@@ -786,6 +786,71 @@ def fill_median_query(spark, sf):
     return fill_median(lines, ["q", "p", "e"])
 
 
+def chained_pair_sql(source: str, key: str, a: str, b: str, digits: int | None = 4) -> str:
+    """Chained equations of two columns as a recursion over scalars.
+
+    A step of the recursion is one iteration of one regression. A cell that is filled is a constant plus a
+    weight times the cell that is present: (c, d) for rows with one hole, (u, v) for rows with two.
+    """
+    both, only_a, only_b = "za IS NOT NULL AND zb IS NOT NULL", "za IS NOT NULL AND zb IS NULL", "za IS NULL AND zb IS NOT NULL"
+    total = lambda e, where: f"coalesce(sum({e}) FILTER ({where}), 0)::DOUBLE"
+    return f"""WITH RECURSIVE src AS ({source}),
+    m AS (SELECT avg({a}) AS ma, avg({b}) AS mb, 1e-3 * greatest(max(abs({a})), max(abs({b}))) AS stop, count({a}) >= count({b}) AS a_first FROM src),
+    z AS (SELECT {a} - ma AS za, {b} - mb AS zb FROM src, m),
+    f AS (SELECT stop, a_first, {total('1', both)} AS n2, {total('za', both)} AS sa2, {total('zb', both)} AS sb2, {total('za * za', both)} AS aa2,
+        {total('zb * zb', both)} AS bb2, {total('za * zb', both)} AS ab2, {total('1', only_a)} AS na, {total('za', only_a)} AS sa, {total('za * za', only_a)} AS aa,
+        {total('1', only_b)} AS nb, {total('zb', only_b)} AS sb, {total('zb * zb', only_b)} AS bb,
+        min(za) FILTER ({only_a}) AS la, max(za) FILTER ({only_a}) AS ha, min(zb) FILTER ({only_b}) AS lb, max(zb) FILTER ({only_b}) AS hb,
+        count(*) FILTER (za IS NULL AND zb IS NULL) AS n0 FROM z, m GROUP BY ALL),
+    walk(r, second, it, spread, noise, prev, ca, da, cb, db, ua, ub, oca, oda, ocb, odb, oua, oub, moved) AS (
+        SELECT 0, false, 0, 1.0::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE,
+            0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, NULL::DOUBLE
+        UNION ALL
+        SELECT CASE WHEN ended AND second THEN r + 1 ELSE r END, CASE WHEN ended THEN NOT second ELSE second END,
+            CASE WHEN ended THEN 0 ELSE it + 1 END, CASE WHEN ended THEN 1.0 ELSE spread2 END, CASE WHEN ended THEN NULL ELSE noise2 END,
+            CASE WHEN ended THEN NULL ELSE w END, nca, nda, ncb, ndb, nua, nub,
+            CASE WHEN ended AND second THEN nca ELSE oca END, CASE WHEN ended AND second THEN nda ELSE oda END,
+            CASE WHEN ended AND second THEN ncb ELSE ocb END, CASE WHEN ended AND second THEN ndb ELSE odb END,
+            CASE WHEN ended AND second THEN nua ELSE oua END, CASE WHEN ended AND second THEN nub ELSE oub END,
+            CASE WHEN ended AND second THEN greatest(
+                coalesce(abs(nca - oca + (nda - oda) * lb), 0), coalesce(abs(nca - oca + (nda - oda) * hb), 0),
+                coalesce(abs(ncb - ocb + (ndb - odb) * la), 0), coalesce(abs(ncb - ocb + (ndb - odb) * ha), 0),
+                CASE WHEN n0 > 0 THEN abs(nua - oua) + abs(nub - oub) ELSE 0 END) END
+        FROM (SELECT *,
+                CASE WHEN ended AND on_a THEN base ELSE ca END AS nca, CASE WHEN ended AND on_a THEN wf ELSE da END AS nda,
+                CASE WHEN ended AND NOT on_a THEN base ELSE cb END AS ncb, CASE WHEN ended AND NOT on_a THEN wf ELSE db END AS ndb,
+                CASE WHEN ended AND on_a THEN base + wf * ub ELSE ua END AS nua, CASE WHEN ended AND NOT on_a THEN base + wf * ua ELSE ub END AS nub
+            FROM (SELECT *, (st - wf * sp) / n AS base
+            FROM (SELECT *, cr / (g + spread2 / noise2) AS wf, it = 299 OR coalesce(abs(prev - w) < 1e-3, false) AS ended
+            FROM (SELECT *, (eff + 2e-6) / (w * w + 2e-6) AS spread2, (n - eff + 2e-6) / (greatest(sq - 2 * w * cr + w * w * g, 0) + 2e-6) AS noise2
+            FROM (SELECT *, cr / (g + spread / noise1) AS w, noise1 * g / (spread + noise1 * g) AS eff
+            FROM (SELECT *, coalesce(noise, 1 / (sq / n + 2.220446049250313e-16)) AS noise1
+            FROM (SELECT *, tp - sp * sp / n AS g, tc - sp * st / n AS cr, tt - st * st / n AS sq
+            FROM (SELECT walk.*, f.*, second <> a_first AS on_a,
+                CASE WHEN second <> a_first THEN n2 + na ELSE n2 + nb END AS n,
+                CASE WHEN second <> a_first THEN sa2 + sa ELSE sb2 + sb END AS st,
+                CASE WHEN second <> a_first THEN aa2 + aa ELSE bb2 + bb END AS tt,
+                CASE WHEN second <> a_first THEN sb2 + cb * na + db * sa ELSE sa2 + ca * nb + da * sb END AS sp,
+                CASE WHEN second <> a_first THEN bb2 + cb * cb * na + 2 * cb * db * sa + db * db * aa
+                    ELSE aa2 + ca * ca * nb + 2 * ca * da * sb + da * da * bb END AS tp,
+                CASE WHEN second <> a_first THEN ab2 + cb * sa + db * aa ELSE ab2 + ca * sb + da * bb END AS tc
+                FROM walk, f WHERE r < 10 AND NOT (it = 0 AND NOT second AND coalesce(moved < stop, false))))))))))),
+    final AS (SELECT * FROM walk WHERE it = 0 AND NOT second ORDER BY r DESC LIMIT 1)
+    SELECT {key}, {rounded(f"coalesce({a}, ma + CASE WHEN {b} IS NULL THEN ua ELSE ca + da * ({b} - mb) END)", digits)} AS {a},
+        {rounded(f"coalesce({b}, mb + CASE WHEN {a} IS NULL THEN ub ELSE cb + db * ({a} - ma) END)", digits)} AS {b}
+    FROM src, m, final"""
+
+
+PAIR = f"""SELECT l_orderkey, l_linenumber, {hole('l_extendedprice', '(l_orderkey + l_linenumber)', 7)} AS price,
+    {hole('l_quantity', '(l_orderkey + l_partkey)', 5)} AS quantity FROM lineitem"""
+
+
+@query("chained_pair", chained_pair_sql(PAIR, "l_orderkey, l_linenumber", "price", "quantity"))
+def chained_pair(spark, sf):
+    source = spark.sql(PAIR.replace("FROM lineitem", "FROM {l}"), l=table(spark, sf, "lineitem"))
+    return _rounded(ChainedImputer(["price", "quantity"]).fit(source).transform(source), ["price", "quantity"], 4)
+
+
 # ---- outliers -----------------------------------------------------------------------------------
 
 def outlier_sql(source: str, key: str, columns: list[str], digits: int | None = 6) -> str:

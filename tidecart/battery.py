@@ -851,6 +851,20 @@ def chained_pair(spark, sf):
     return _rounded(ChainedImputer(["price", "quantity"]).fit(source).transform(source), ["price", "quantity"], 4)
 
 
+ORDER_PAIR = f"""SELECT o_orderkey, {hole('o_totalprice', 'o_orderkey', 31)} AS price,
+    {hole('CAST(o_custkey AS DOUBLE)', 'o_orderkey', 9)} AS customer FROM orders"""
+
+
+@query("smart_imputer_pair", f"""
+    SELECT o_orderkey, k.price, c.customer FROM ({knn_sql(ORDER_PAIR, "o_orderkey", ["price", "customer"], ["price"])}) k
+    JOIN ({chained_pair_sql(ORDER_PAIR, "o_orderkey", "price", "customer")}) c USING (o_orderkey)""")
+def smart_imputer_pair(spark, sf):
+    """Per column: the price by its neighbours, the customer by chained equations over both."""
+    source = spark.sql(ORDER_PAIR.replace("FROM orders", "FROM {o}"), o=table(spark, sf, "orders"))
+    columns = ["price", "customer"]
+    return _rounded(SmartImputer(columns, per_column=True).fit(source).transform(source), columns, 4)
+
+
 # ---- outliers -----------------------------------------------------------------------------------
 
 def outlier_sql(source: str, key: str, columns: list[str], digits: int | None = 6) -> str:

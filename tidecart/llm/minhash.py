@@ -105,24 +105,24 @@ def range_of(id_: Column, bounds: list[int]) -> Column:
 def with_next(docs: DataFrame, id_column: str, payload: list[str], name: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """``docs`` with ``name``: the payload columns, as a struct, of the next row by ascending id (after the last: of the first).
 
-    Rows are dealt to ranges of ids. Within a range the next row is the following one; the last row of
-    a range takes the first of the next range that has rows, from a table with one row per range.
-    Rows that repeat an id follow each other in the order of their payload, a null id comes first.
+    Rows are dealt to ranges of ids. Within a range the next row is the following one; the first row of
+    each range is also sent to the end of the range before it, as a ghost that only its last row sees.
+    So all is done by one shuffle, and what is broadcast are ids, one per range. Rows that repeat an id
+    follow each other in the order of their payload, a null id comes first.
     """
     own = [column(c) for c in docs.columns]
-    bounds = id_ranges(docs.select(column(id_column).cast("bigint").alias("id")), rows_per_range)
-    ranged = docs.withColumn("__r", range_of(column(id_column).cast("bigint"), bounds)).withColumn("__p", F.struct(*[column(c) for c in payload]))
-    order = F.struct(column(id_column), F.col("__p"))
-    heads = pin(ranged.groupBy("__r").agg(F.min(order).alias("__head")).select("__r", F.col("__head.__p").alias("__head")))
-    # one row per range, so one task orders them; the payload stays behind
-    numbers = heads.select("__r")
-    total = numbers.agg(F.min("__r")).first()[0]
-    following = numbers.withColumn("__follow", F.coalesce(F.lead("__r").over(Window.orderBy("__r")), F.lit(total)))
-    following = following.join(heads.select(F.col("__r").alias("__follow"), "__head"), "__follow").select("__r", "__head")
-    inside = ranged.withColumn("__next", F.lead("__p").over(Window.partitionBy("__r").orderBy(column(id_column), "__p")))
-    last = inside.withColumn("__end", F.when(F.col("__next").isNull(), F.col("__r")))
-    following = following.withColumnRenamed("__r", "__end")
-    return last.join(following, "__end", "left").select(*own, F.coalesce("__next", "__head").alias(name))
+    ids = docs.select(column(id_column).cast("bigint").alias("id"))
+    bounds = id_ranges(ids, rows_per_range)
+    heads = ids.groupBy(range_of(F.col("id"), bounds).alias("__range")).agg(F.min(F.struct("id")).alias("__head"))
+    # one row per range, so one task orders them
+    before = F.coalesce(F.lag("__range").over(Window.orderBy("__range")), F.max("__range").over(Window.partitionBy()))
+    before = pin(heads.select(F.col("__head.id").alias("__head"), before.alias("__before")))
+    ranged = docs.withColumn("__r", range_of(column(id_column).cast("bigint"), bounds)).withColumn("__ghost", F.lit(0))
+    ghosts = docs.join(F.broadcast(before), column(id_column).cast("bigint").eqNullSafe(F.col("__head")))
+    ghosts = ghosts.select(*own, F.col("__before").alias("__r"), F.lit(1).alias("__ghost"))
+    both = ranged.unionAll(ghosts).withColumn("__p", F.struct(*[column(c) for c in payload]))
+    following = F.lead("__p").over(Window.partitionBy("__r").orderBy("__ghost", column(id_column), "__p"))
+    return both.withColumn(name, following).where(F.col("__ghost") == 0).select(*own, name)
 
 
 def edited(text: Column, n_chars: Column, following: Column) -> Column:
@@ -138,12 +138,12 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     own next one. An empty table gives an empty result.
     """
     plain = docs.select(column(id_column).alias("doc_id"), F.coalesce(column(text_column), F.lit("")).alias("text"))
-    coded = with_codes(plain, "text", "codes")
+    coded = with_codes(plain, "text", "codes").withColumn("codes", F.col("codes").cast("array<tinyint>"))
     beside = with_next(coded, "doc_id", ["text", "codes"], "following", rows_per_range)
     n = F.length("text").cast("bigint")
     changed = beside.select("doc_id", n.alias("n_chars"), "codes", F.col("following.codes").alias("next_codes"),
                             edited(F.col("text"), n, F.col("following.text")).alias("edited"))
-    both = with_codes(changed, "edited", "edited_codes")
+    both = with_codes(changed, "edited", "edited_codes").withColumn("edited_codes", F.col("edited_codes").cast("array<tinyint>"))
     return both.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), packed(F.col("codes")).alias("fingerprint"),
         packed(F.col("edited_codes")).alias("edited_fingerprint"), likeness(F.col("codes"), F.col("edited_codes")).alias("near_edited"),

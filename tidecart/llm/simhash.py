@@ -16,11 +16,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecart.llm._common import appended, attach_unique, column, fresh
+from tidecart.operators.attach import fits_broadcast
 from tidecart.session import pin
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEGMENTS, SEGMENT_BITS, RADIUS = 2, 32, 2
+BROADCAST_BYTES = 16 * 1024 * 1024
 _BLOCK = 255 * 256  # hashes counted at a time: 255 bytes can be added without leaving a byte
 
 
@@ -127,14 +129,24 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     lead = found.where(F.col("id").eqNullSafe(F.col("component")))
     # ids can repeat: of the texts that share the leading id the one with the smallest hash stays
     nameless = F.when(F.col("id").isNull(), F.col("fp"))
-    lead = lead.groupBy("component", nameless.alias("nameless")).agg(F.min("text_hash").alias("__hash"))
-    lead = lead.select(F.col("component").alias("__id"), "__hash").distinct()
+    lead = lead.groupBy("component", nameless.alias("nameless"), "text_hash").agg(F.count("*").alias("n"))
+    lead = lead.groupBy("component", "nameless").agg(F.min(F.struct("text_hash", "n")).alias("first"))
+    lead = lead.groupBy(F.col("component").alias("__id"), F.col("first.text_hash").alias("__hash")).agg(F.max("first.n").alias("n"), F.count("*").alias("m"))
+    lead = pin(lead.select("__id", "__hash", ((F.col("n") > 1) | (F.col("m") > 1)).alias("repeated")))
     mark = fresh(docs, "__text_hash")
     own = docs.withColumn(mark, F.xxhash64(column(text_column)))
-    kept = own.join(lead, own[mark].eqNullSafe(F.col("__hash")) & column(id_column).cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    once = kept.groupBy(column(id_column).cast("long").alias("__id"), column(mark).alias("__hash")).agg(
+    small = fits_broadcast(lead, BROADCAST_BYTES)  # beyond that the texts are shuffled once
+
+    def rows_of(keys: DataFrame) -> DataFrame:
+        keys = F.broadcast(keys) if small else keys
+        return own.join(keys, own[mark].eqNullSafe(F.col("__hash")) & column(id_column).cast("long").eqNullSafe(F.col("__id")), "left_semi")
+
+    kept = rows_of(lead.where("not repeated")).drop(mark)
+    if not lead.where("repeated").limit(1).count():
+        return kept
+    once = rows_of(lead.where("repeated")).groupBy(column(id_column).cast("long").alias("__id"), column(mark).alias("__hash")).agg(
         F.first(F.struct(*[column(c) for c in docs.columns])).alias("__row"))
-    return once.select(*[F.col("__row")[c].alias(c) for c in docs.columns])
+    return kept.unionAll(once.select(*[F.col("__row")[c].alias(c) for c in docs.columns]))
 
 
 def fingerprint_links(spark, folder: str) -> DataFrame:

@@ -40,3 +40,27 @@ def test_a_very_long_text(spark):
     docs = spark.createDataFrame([(i, text) for i in range(3)], "doc_id long, text string")
     got = {r.doc_id: r for r in lines.without_boilerplate(docs).collect()}
     assert got[0].text == "line 0 holds a few words and ends" and got[1].text == "" and got[2].n_dropped == 60_000
+
+
+def test_both_ways_to_the_candidates_agree(spark, monkeypatch):
+    rng = random.Random(9)
+    pool = [[rng.choice("abcdef") * 3 for _ in range(9)] for _ in range(6)]
+    rows = []
+    for i in range(60):
+        own = [list(rng.choice(pool)) for _ in range(3)]
+        for line in own:
+            line[rng.randrange(9)] = rng.choice(["abc", "7x", "ddd"])
+        rows.append((i if i % 7 else None, "\n".join(" ".join(x) for x in own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one = sorted(map(str, lines.without_boilerplate(docs).collect()))
+    monkeypatch.setattr(lines, "BROADCAST_BYTES", -1)
+    assert one == sorted(map(str, lines.without_boilerplate(docs).collect()))
+    assert any("n_dropped=3" in x for x in one)
+
+
+def test_very_long_lines(spark):
+    line = " ".join(f"word{chr(97 + i % 26)}" for i in range(300_000))
+    other = line.replace("wordb", "other", 1)
+    docs = spark.createDataFrame([(i, line) for i in range(3)] + [(9, other)], "doc_id long, text string")
+    got = {r.doc_id: r.n_dropped for r in lines.without_boilerplate(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 1, 9: 0}

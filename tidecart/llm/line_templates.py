@@ -1,11 +1,13 @@
 """Drop lines whose template recurs across documents, found with a log-template tree.
 
 The tree has a fixed depth: a line descends by its number of tokens and then by its leading tokens,
-where tokens with a digit count as a variable field. In the leaf it reaches, a token stays constant
-where enough documents have it at that place; every other token is a variable field. What results is
-the line's template. A template that enough documents share, mostly of constant tokens, is boilerplate:
-only its first line in the corpus stays. All of it is joins and aggregations over hashes; a line's
-words are looked at only where its leaf is shared by enough documents.
+where tokens with a digit count as a variable field. Lines of a leaf of which two quarters recur at
+their place are candidates. Among the candidates of a leaf, a token stays constant where enough
+documents have it at that place; every other token is a variable field. What results is the line's
+template. A template that enough documents share, mostly of constant tokens, is boilerplate: only its
+first line in the corpus stays. All of it is joins and aggregations. Over the whole corpus only the
+hashes of quarters are shuffled; ordinary prose that shares its first words by chance has no quarters
+that recur, so the words of a line are looked at for little more than what is dropped.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from tidecart.operators.attach import fits_broadcast
 from tidecart.session import pin
 
 DEPTH = 3
+QUARTERS, MIN_QUARTERS = 4, 2
 MIN_DOCS = 3
 MIN_TOKENS = 6
 CONSTANT_PERCENT = 70
@@ -37,42 +40,69 @@ def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     source = docs.select(column(id_column).alias("id"), F.xxhash64(column(text_column)).alias("h"), column(text_column).alias("text"))
     lines = source.select("id", "h", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     cut = lines.select("id", "h", "line_no", tokens(F.col("line")).alias("tokens")).where(F.size("tokens") >= MIN_TOKENS)
-    return cut.select("id", "h", "line_no", F.size("tokens").alias("n"), F.array_join("tokens", " ").alias("masked"),
-                      F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"))
+    named = cut.select("id", "h", "line_no", "tokens", F.size("tokens").alias("n"), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"))
+    edge = lambda q: F.floor(F.col("n") * q / QUARTERS).cast("int")
+    quarters = [F.xxhash64("leaf", F.lit(q), F.slice("tokens", edge(q) + 1, edge(q + 1) - edge(q))) for q in range(QUARTERS)]
+    return named.select("id", "h", "line_no", "n", F.array_join("tokens", " ").alias("masked"), "leaf", F.array(*quarters).alias("quarters"))
+
+
+def candidates(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(id, h, line_no, n, masked, leaf) of the lines of which ``MIN_QUARTERS`` quarters occur ``MIN_DOCS`` times in their leaf.
+
+    The recurring quarters are broadcast where they are measured to fit. Beyond that the hashes are
+    joined by shuffle, and only the documents that have candidates are read for them once more.
+    """
+    rows = _rows(docs, id_column, text_column)
+    counts = rows.select(F.explode("quarters").alias("quarter")).groupBy("quarter").agg(F.count("*").alias("n_lines"))
+    recurring = pin(counts.where(F.col("n_lines") >= MIN_DOCS).select("quarter"))
+    kept = ["id", "h", "line_no", "n", "masked", "leaf"]
+    if fits_broadcast(recurring, BROADCAST_BYTES):
+        spread = rows.select(*kept, F.explode("quarters").alias("quarter"))
+        met = spread.join(F.broadcast(recurring), "quarter", "left_semi")
+        return met.groupBy(*kept).agg(F.count("*").alias("__q")).where(F.col("__q") >= MIN_QUARTERS).drop("__q")
+    spread = rows.select("id", "h", "line_no", F.explode("quarters").alias("quarter"))
+    met = spread.join(recurring, "quarter", "left_semi").groupBy("id", "h", "line_no").agg(F.count("*").alias("__q"))
+    wanted = met.where(F.col("__q") >= MIN_QUARTERS).select(*[F.col(c).alias(f"__{c}") for c in ("id", "h", "line_no")])
+    match = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ("id", "h", "line_no")]
+    return rows.select(*kept).join(wanted, match, "left_semi").distinct()
 
 
 def boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, h, line_no) of the lines to drop."""
-    rows = _rows(docs, id_column, text_column)
-    # leaves and documents by hash; a document counts once per leaf. Copies of whole documents fold before the shuffle.
-    leaves = rows.select("leaf", "id", "h").distinct().groupBy("leaf").agg(F.count("*").alias("n_docs"))
-    shared = pin(leaves.where(F.col("n_docs") >= MIN_DOCS).select("leaf"))
-    small = fits_broadcast(shared, BROADCAST_BYTES)
-    lines = pin(rows.join(F.broadcast(shared) if small else shared, "leaf", "left_semi"))
+    named = candidates(docs, id_column, text_column)
+    # two hashes stand for a line from here on; its text is carried once
+    lines = pin(named.withColumns({"m1": F.xxhash64("leaf", "masked"), "m2": F.xxhash64("masked", F.lit(1))}))
 
     # distinct lines of each leaf with the documents that have them
-    distinct = lines.select("leaf", "n", "masked", "id", "h").distinct().groupBy("leaf", "n", "masked").agg(F.count("*").alias("docs"))
-    distinct = pin(distinct)
-    placed = distinct.select("leaf", "n", "masked", "docs", F.posexplode(F.split("masked", " ")).alias("at", "token"))
+    docs_of = lines.select("m1", "m2", "id", "h").distinct().groupBy("m1", "m2").agg(F.count("*").alias("docs"))
+    texts = lines.groupBy("m1", "m2").agg(F.first(F.struct("leaf", "n", "masked")).alias("x"))
+    distinct = pin(texts.join(docs_of, ["m1", "m2"]).select("m1", "m2", "x.*", "docs"))
     # the leading tokens are constant by the tree; the others where enough documents agree
-    deep = placed.where(F.col("at") >= DEPTH)
-    constant = deep.where(F.col("token") != VARIABLE).groupBy("leaf", "at", "token").agg(F.sum("docs").alias("docs"))
-    constant = constant.where(F.col("docs") >= MIN_DOCS).select("leaf", "at", "token", F.lit(True).alias("constant"))
-    marked = deep.select("leaf", "n", "masked", "at", "token").join(constant, ["leaf", "at", "token"], "left")
-    kept = marked.where("constant").groupBy("leaf", "n", "masked").agg(F.collect_list("at").alias("at"))
+    placed = distinct.select("leaf", "docs", F.posexplode(F.split("masked", " ")).alias("at", "token"))
+    constant = placed.where((F.col("at") >= DEPTH) & (F.col("token") != VARIABLE)).groupBy("leaf", "at", "token").agg(F.sum("docs").alias("docs"))
+    constant = constant.where(F.col("docs") >= MIN_DOCS).select("leaf", "at", "token")
+    # a line that enough documents have as it is settles its own tokens; the others look theirs up
+    common, rare = distinct.where(F.col("docs") >= MIN_DOCS), distinct.where(F.col("docs") < MIN_DOCS)
+    spread = rare.select("m1", "m2", "leaf", F.posexplode(F.split("masked", " ")).alias("at", "token")).where(F.col("at") >= DEPTH)
+    met = spread.join(constant.withColumn("constant", F.lit(True)), ["leaf", "at", "token"], "left")
+    part = F.struct("at", F.when(F.col("constant"), F.col("token")).otherwise(VARIABLE).alias("token"))
+    met = met.groupBy("m1", "m2").agg(F.count("constant").alias("deep"), F.sort_array(F.collect_list(part)).alias("parts")).where(F.col("deep") > 0)
+    lead = F.slice(F.split("masked", " "), 1, DEPTH)
+    fixed = lambda tokens: F.size(F.filter(tokens, lambda t: t != VARIABLE))
+    template = F.array_join(F.concat(lead, F.transform("parts", lambda x: x["token"])), " ")
+    narrow = ["m1", "m2", "n", "leaf"]
+    named = common.select(*narrow, F.col("masked").alias("template"), fixed(lead).alias("lead"), fixed(F.split("masked", " ")).alias("all"))
+    kept = named.select(*narrow, "template", "lead", (F.col("all") - F.col("lead")).alias("deep")).where(F.col("deep") > 0)
+    kept = kept.unionAll(rare.join(met, ["m1", "m2"]).select(*narrow, template.alias("template"), fixed(lead).alias("lead"), F.col("deep").cast("int")))
     # only whole candidates go on: enough constant places, fields of the tree included
-    lead = F.expr(f"size(filter(slice(split(masked, ' '), 1, {DEPTH}), t -> t != '{VARIABLE}'))")
-    enough = kept.where((F.size("at") + lead) * 100 >= F.col("n") * CONSTANT_PERCENT)
-    template = F.transform(F.split("masked", " "), lambda t, i: F.when((i < DEPTH) | F.array_contains("at", i), t).otherwise(VARIABLE))
-    templates = enough.select("leaf", "n", "masked", F.array_join(template, " ").alias("template"))
+    templates = kept.where((F.col("deep") + F.col("lead")) * 100 >= F.col("n") * CONSTANT_PERCENT)
+    templates = templates.select("m1", "m2", F.xxhash64("leaf", "template").alias("t1"), F.xxhash64("template", F.lit(1)).alias("t2"))
 
     # lines of recurring templates, and the first of each
-    found = lines.join(templates, ["leaf", "n", "masked"])
-    found = pin(found.select(F.xxhash64("leaf", "template").alias("t1"), F.hash("template", "leaf").alias("t2"), "id", "h", "line_no"))
+    found = pin(lines.select("m1", "m2", "id", "h", "line_no").join(templates, ["m1", "m2"]).drop("m1", "m2"))
     counts = found.select("t1", "t2", "id", "h").distinct().groupBy("t1", "t2").agg(F.count("*").alias("n_docs"))
     firsts = found.groupBy("t1", "t2").agg(F.min(F.struct("id", "h", "line_no")).alias("first"))
-    recurring = counts.where(F.col("n_docs") >= MIN_DOCS).join(firsts, ["t1", "t2"]).select("t1", "t2", "first")
-    recurring = pin(recurring)
+    recurring = pin(counts.where(F.col("n_docs") >= MIN_DOCS).join(firsts, ["t1", "t2"]).select("t1", "t2", "first"))
     right = F.broadcast(recurring) if fits_broadcast(recurring, BROADCAST_BYTES) else recurring
     drops = found.join(right, ["t1", "t2"]).where(~F.struct("id", "h", "line_no").eqNullSafe(F.col("first")))
     return drops.select("id", "h", "line_no")
@@ -87,7 +117,9 @@ def without_boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column:
     """
     own = docs.select(*[column(c) for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")])
     drops = boilerplate(own, id_column, text_column).groupBy("id", "h").agg(F.collect_set("line_no").alias("__drops"))
-    drops = drops.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "__drops")
+    drops = pin(drops.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "__drops"))
+    if fits_broadcast(drops, BROADCAST_BYTES):  # beyond that the texts are shuffled once
+        drops = F.broadcast(drops)
     mark = fresh(own, "__text_hash")
     marked = own.withColumn(mark, F.xxhash64(column(text_column)))
     joined = marked.join(drops, column(id_column).eqNullSafe(F.col("__id")) & (F.col(mark) == F.col("__h")), "left")
@@ -116,10 +148,17 @@ t AS (
 r AS (
     SELECT doc_id, line_no, len(tokens) AS n, tokens, array_to_string(list_prepend(CAST(len(tokens) AS VARCHAR), tokens[1:{DEPTH}]), ' ') AS leaf
     FROM t WHERE len(tokens) >= {MIN_TOKENS}),
+q AS (
+    SELECT doc_id, line_no, unnest(list_transform(range(0, {QUARTERS}), lambda i: leaf || '/' || i || '/' || array_to_string(
+        tokens[CAST((i * n) // {QUARTERS} + 1 AS BIGINT):CAST(((i + 1) * n) // {QUARTERS} AS BIGINT)], ' '))) AS quarter FROM r),
 s AS (
-    SELECT leaf FROM r GROUP BY leaf HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
+    SELECT quarter FROM q GROUP BY quarter HAVING count(*) >= {MIN_DOCS}),
+w AS (
+    SELECT doc_id, line_no FROM q SEMI JOIN s USING (quarter) GROUP BY doc_id, line_no HAVING count(*) >= {MIN_QUARTERS}),
+g AS (
+    SELECT * FROM r SEMI JOIN w USING (doc_id, line_no)),
 d AS (
-    SELECT leaf, tokens, count(DISTINCT doc_id) AS docs FROM r SEMI JOIN s USING (leaf) GROUP BY leaf, tokens),
+    SELECT leaf, tokens, count(DISTINCT doc_id) AS docs FROM g GROUP BY leaf, tokens),
 p AS (
     SELECT leaf, tokens, docs, unnest(tokens) AS token, unnest(range(0, len(tokens))) AS place FROM d),
 c AS (
@@ -130,7 +169,7 @@ m AS (
         count(c.token) AS deep
     FROM p LEFT JOIN c ON p.leaf = c.leaf AND p.place = c.place AND p.token = c.token GROUP BY p.leaf, p.tokens),
 f AS (
-    SELECT r.doc_id, r.line_no, m.leaf, m.template FROM r JOIN m USING (leaf, tokens)
+    SELECT g.doc_id, g.line_no, m.leaf, m.template FROM g JOIN m USING (leaf, tokens)
     WHERE m.constant * 100 >= len(m.tokens) * {CONSTANT_PERCENT} AND m.deep > 0),
 k AS (
     SELECT leaf, template, min(doc_id * 100000000 + line_no) AS first FROM f GROUP BY leaf, template HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),

@@ -64,3 +64,52 @@ def test_very_long_lines(spark):
     docs = spark.createDataFrame([(i, line) for i in range(3)] + [(9, other)], "doc_id long, text string")
     got = {r.doc_id: r.n_dropped for r in lines.without_boilerplate(docs).collect()}
     assert got == {0: 0, 1: 1, 2: 1, 9: 0}
+
+
+def by_hand(texts, min_tokens=6, depth=3, least=3, percent=70):
+    """(document, line number) of the lines to drop, by the rule itself."""
+    at = {}
+    for i, text in texts.items():
+        for k, line in enumerate(text.split("\n")):
+            tokens = tuple("<*>" if any(c.isdigit() for c in t) else t for t in line.split(" ") if t)
+            if len(tokens) >= min_tokens:
+                at[i, k] = tokens
+    seen = {}
+    for i, tokens in {(i, t) for (i, _), t in at.items()}:
+        for p, t in enumerate(tokens):
+            key = (len(tokens), tokens[:depth], p, t)
+            seen[key] = seen.get(key, 0) + 1
+    found = {}
+    for where, x in at.items():
+        stays = [p < depth or (t != "<*>" and seen[len(x), x[:depth], p, t] >= least) for p, t in enumerate(x)]
+        constant = sum(s and t != "<*>" for s, t in zip(stays, x))
+        if any(stays[depth:]) and constant * 100 >= len(x) * percent:
+            found.setdefault((len(x), *[t if s else "<*>" for s, t in zip(stays, x)]), []).append(where)
+    return {w for g in found.values() if len({i for i, _ in g}) >= least for w in g if w != min(g)}
+
+
+def test_a_field_in_each_of_three_quarters(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    texts = {i: f"This page was {word()} by staff {word()} for the {word()} site archive" for i in range(200)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r.doc_id, r.n_dropped) for r in lines.without_boilerplate(docs).collect()}
+    assert len(by_hand(texts)) == 199
+    assert got == {(i, int(i > 0)) for i in range(200)}
+
+
+def test_all_templates_of_the_rule_are_found(spark):
+    rng = random.Random(11)
+    texts = {}
+    for i in range(150):
+        own = []
+        for _ in range(3):
+            n = rng.choice([6, 7, 10, 13, 20])
+            line = ["the", "first", "part"] + [f"w{'abcdefghijklmnopqrst'[p]}" for p in range(3, n)]
+            for p in rng.sample(range(3, n), rng.randint(0, (3 * n) // 10 + 1)):
+                line[p] = rng.choice(["x", "y", "z", "7", "".join(rng.choice("abcdefgh") for _ in range(6))])
+            own.append(" ".join(line))
+        texts[i] = "\n".join(own)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r.id, r.line_no) for r in lines.boilerplate(docs).collect()}
+    assert got == by_hand(texts) and len(got) > 100

@@ -1,13 +1,14 @@
 """Drop lines whose template recurs across documents, found with a log-template tree.
 
 The tree has a fixed depth: a line descends by its number of tokens and then by its leading tokens,
-where tokens with a digit count as a variable field. Lines of a leaf of which two quarters recur at
-their place are candidates. Among the candidates of a leaf, a token stays constant where enough
-documents have it at that place; every other token is a variable field. What results is the line's
-template. A template that enough documents share, mostly of constant tokens, is boilerplate: only its
-first line in the corpus stays. All of it is joins and aggregations. Over the whole corpus only the
-hashes of quarters are shuffled; ordinary prose that shares its first words by chance has no quarters
-that recur, so the words of a line are looked at for little more than what is dropped.
+where tokens with a digit count as a variable field. In the leaf it reaches, a token stays constant
+where enough documents have it at that place; every other token is a variable field. What results is
+the line's template. A template that enough documents share, mostly of constant tokens, is boilerplate:
+only its first line in the corpus stays. All of it is joins and aggregations.
+
+A template leaves so few places open that, with the places below the tree cut into one block more, the
+lines of the template agree in a whole block. So leaves in which no block of constant tokens recurs
+have no template and are left out; over the whole corpus only hashes of leaves and blocks are shuffled.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from tidecart.operators.attach import fits_broadcast
 from tidecart.session import pin
 
 DEPTH = 3
-QUARTERS, MIN_QUARTERS = 4, 2
+QUARTERS, MIN_QUARTERS = 4, 2  # of the SQL only, which still has candidates by quarters: see REPLY_r02.md
 MIN_DOCS = 3
 MIN_TOKENS = 6
 CONSTANT_PERCENT = 70
@@ -36,35 +37,45 @@ def tokens(line: Column) -> Column:
 
 
 def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, h, line_no, n, masked, leaf) of every line of ``MIN_TOKENS`` tokens; (id, h) names a document."""
+    """(id, h, line_no, n, masked, leaf, tokens) of every line of ``MIN_TOKENS`` tokens; (id, h) names a document."""
     source = docs.select(column(id_column).alias("id"), F.xxhash64(column(text_column)).alias("h"), column(text_column).alias("text"))
     lines = source.select("id", "h", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     cut = lines.select("id", "h", "line_no", tokens(F.col("line")).alias("tokens")).where(F.size("tokens") >= MIN_TOKENS)
     named = cut.select("id", "h", "line_no", "tokens", F.size("tokens").alias("n"), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"))
-    edge = lambda q: F.floor(F.col("n") * q / QUARTERS).cast("int")
-    quarters = [F.xxhash64("leaf", F.lit(q), F.slice("tokens", edge(q) + 1, edge(q + 1) - edge(q))) for q in range(QUARTERS)]
-    return named.select("id", "h", "line_no", "n", F.array_join("tokens", " ").alias("masked"), "leaf", F.array(*quarters).alias("quarters"))
+    return named.select("id", "h", "line_no", "n", F.array_join("tokens", " ").alias("masked"), "leaf", "tokens")
+
+
+def blocks() -> Column:
+    """Hashes of the blocks of a line (``n``, ``tokens``, ``leaf``) that hold no variable field.
+
+    At most n * (100 - CONSTANT_PERCENT) / 100 places of a template are open; the places below the tree
+    are cut into one block more, so one at least is constant throughout.
+    """
+    open_ = F.floor(F.col("n") * (100 - CONSTANT_PERCENT) / 100).cast("int")
+    edge = lambda b: (DEPTH + F.floor(b.cast("bigint") * (F.col("n") - DEPTH) / (open_ + 1))).cast("int")
+    # token by token: a slice within a lambda would copy the whole line for each block
+
+    def added(h: Column, i: Column) -> Column:
+        token = F.get("tokens", i)
+        return F.when(h.isNotNull() & (token != VARIABLE), F.xxhash64(h, token))
+
+    hashes = F.transform(F.sequence(F.lit(0), open_), lambda b: F.aggregate(F.sequence(edge(b), edge(b + 1) - 1), F.xxhash64("leaf", b), added))
+    return F.filter(hashes, lambda h: h.isNotNull())
 
 
 def candidates(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, h, line_no, n, masked, leaf) of the lines of which ``MIN_QUARTERS`` quarters occur ``MIN_DOCS`` times in their leaf.
+    """(id, h, line_no, n, masked, leaf) of all lines of the leaves that can have a template.
 
-    The recurring quarters are broadcast where they are measured to fit. Beyond that the hashes are
-    joined by shuffle, and only the documents that have candidates are read for them once more.
+    These are the leaves of which a block occurs in ``MIN_DOCS`` lines. Leaves with fewer lines are left
+    out before, where the others are measured to fit a broadcast.
     """
     rows = _rows(docs, id_column, text_column)
-    counts = rows.select(F.explode("quarters").alias("quarter")).groupBy("quarter").agg(F.count("*").alias("n_lines"))
-    recurring = pin(counts.where(F.col("n_lines") >= MIN_DOCS).select("quarter"))
-    kept = ["id", "h", "line_no", "n", "masked", "leaf"]
-    if fits_broadcast(recurring, BROADCAST_BYTES):
-        spread = rows.select(*kept, F.explode("quarters").alias("quarter"))
-        met = spread.join(F.broadcast(recurring), "quarter", "left_semi")
-        return met.groupBy(*kept).agg(F.count("*").alias("__q")).where(F.col("__q") >= MIN_QUARTERS).drop("__q")
-    spread = rows.select("id", "h", "line_no", F.explode("quarters").alias("quarter"))
-    met = spread.join(recurring, "quarter", "left_semi").groupBy("id", "h", "line_no").agg(F.count("*").alias("__q"))
-    wanted = met.where(F.col("__q") >= MIN_QUARTERS).select(*[F.col(c).alias(f"__{c}") for c in ("id", "h", "line_no")])
-    match = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ("id", "h", "line_no")]
-    return rows.select(*kept).join(wanted, match, "left_semi").distinct()
+    shared = pin(rows.groupBy("leaf").agg(F.count("*").alias("n_lines")).where(F.col("n_lines") >= MIN_DOCS).select("leaf"))
+    met = rows.join(F.broadcast(shared), "leaf", "left_semi") if fits_broadcast(shared, BROADCAST_BYTES) else rows
+    counts = met.select("leaf", F.explode(blocks()).alias("block")).groupBy("block").agg(F.count("*").alias("n_lines"), F.first("leaf").alias("leaf"))
+    leaves = pin(counts.where(F.col("n_lines") >= MIN_DOCS).select("leaf").distinct())
+    right = F.broadcast(leaves) if fits_broadcast(leaves, BROADCAST_BYTES) else leaves
+    return rows.drop("tokens").join(right, "leaf", "left_semi")
 
 
 def boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

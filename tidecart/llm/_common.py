@@ -70,11 +70,12 @@ def attach_unique(big: DataFrame, small: DataFrame, keys: list[str], weight: str
     return picked.select(*[column(c) for c in big.columns], *[F.col("__v")[v].alias(v) for v in values])
 
 
-def appended(df: DataFrame, inputs: list[Column], run: Callable, fields: str, keep: list[str] | None = None) -> DataFrame:
+def appended(df: DataFrame, inputs: list[Column], run: Callable, fields: str, keep: list[str] | None = None,
+             batch_bytes: float = 32e6) -> DataFrame:
     """``df`` (or its columns ``keep``) with ``fields`` appended, worked out in Python workers batch by batch.
 
-    ``run`` gets one list of values per input and returns one sequence per field; it may be called
-    any number of times on any cut of the rows. The kept columns pass through as Arrow arrays,
+    ``run`` gets one list of values per input, of about ``batch_bytes`` or of one row, and returns one
+    sequence per field; it may be called any number of times on any cut of the rows. The kept columns pass through as Arrow arrays,
     whatever they are named and hold; a new field may have the name of none of them.
     """
     names = df.columns if keep is None else keep
@@ -87,7 +88,7 @@ def appended(df: DataFrame, inputs: list[Column], run: Callable, fields: str, ke
         import pyarrow as pa
 
         for batch in found:
-            cut = max(1, min(batch.num_rows, 1 + int(batch.num_rows * 32e6 / max(1, batch.nbytes))))
+            cut = max(1, min(batch.num_rows, 1 + int(batch.num_rows * batch_bytes / max(1, batch.nbytes))))
             for at in range(0, batch.num_rows, cut):
                 part = batch.slice(at, cut)
                 values = run(*[part.column(len(kept) + i).to_pylist() for i in range(len(asked))])

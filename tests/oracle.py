@@ -50,7 +50,7 @@ def differences(df, con, sql):
 
 
 if __name__ == "__main__":
-    from tidecart.battery import QUERIES
+    import __spark_entry__ as driver
     from tidecart.session import local_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
@@ -58,7 +58,8 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     con = database(folder)
     failed = 0
-    for name, (run, sql) in QUERIES.items():
+    for name, run in driver.queries().items():
+        sql = driver.oracle_sql().get(name)
         if len(sys.argv) > 2 and name not in sys.argv[2:]:
             continue
         start = time.time()

@@ -12,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidecart.operators.attach import fits_broadcast
 from tidecart.session import pin
 
+BROADCAST_BYTES = 16 * 1024 * 1024
 KINDS = ("string", "integer", "number", "boolean", "array", "object")
 
 #: calls: conv_id long, turn long, call_id string, name string, arguments string, depends_on array<string>
@@ -71,11 +73,13 @@ def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
 
     A call of an unknown tool, arguments that are no object, missing, unknown and ill-typed
     parameters, values that are not allowed and numbers or lengths above ``at_most`` are problems. The
-    table of tools is one row per tool here and is broadcast: tools are what a prompt can list.
+    table of tools is one row per tool here: tools are what a prompt can list. It is broadcast where it
+    is measured to fit.
     """
     tools = schemas.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("parameter", "kind", "required", "allowed", "at_most"))).alias("__params"))
+    tools = F.broadcast(tools) if fits_broadcast(schemas, BROADCAST_BYTES) else tools
     own = [F.col(c) for c in calls.columns]
-    read = calls.select(*own, raw_fields(F.col("arguments")).alias("fields")).join(F.broadcast(tools), "name", "left").select(*own, "fields", "__params")
+    read = calls.select(*own, raw_fields(F.col("arguments")).alias("fields")).join(tools, "name", "left").select(*own, "fields", "__params")
 
     def wrong(p: Column) -> Column:
         value = F.element_at("fields", p["parameter"])
@@ -153,10 +157,10 @@ def from_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     faulty; it waits for the call half as far into the conversation. The assistant's next turn is the result.
     """
     n = "length(text)"
-    short = "substr(translate(text, '\n', ' '), 1, 40)"
-    search = (f"to_json(struct(IF({n} % 11 = 0, null, {short}) as query, IF({n} % 7 = 0, null, {n} % 30) as limit, "
+    asked = "translate(text, '\n', ' ')"
+    search = (f"to_json(struct(IF({n} % 11 = 0, null, {asked}) as query, IF({n} % 7 = 0, null, {n} % 30) as limit, "
               f"IF({n} % 7 = 0, 'many', null) as limit_, element_at(array('en', 'fr', 'xx'), {n} % 3 + 1) as lang))")
-    lookup = f"to_json(struct(IF({n} % 2 = 0, turn, null) as key, IF({n} % 2 = 0, null, {short}) as key_, IF({n} % 13 = 0, true, null) as extra))"
+    lookup = f"to_json(struct(IF({n} % 2 = 0, turn, null) as key, IF({n} % 2 = 0, null, {asked}) as key_, IF({n} % 13 = 0, true, null) as extra))"
     plain = lambda e: f"regexp_replace({e}, '_\":', '\":')"  # noqa: E731  a second column gives a key its other kind
     half = "2 * (((turn - turn % 2) div 2) div 2) + turn % 2"
     calls = conversations.where("role = 'user'").selectExpr(
@@ -186,7 +190,7 @@ def tool_call_linking(spark, folder: str) -> DataFrame:
 
 TOOL_CALL_SQL = """
 WITH RECURSIVE u AS (
-    SELECT conv_id, turn, 'c' || turn AS call_id, length(text) AS n, substr(replace(text, chr(10), ' '), 1, 40) AS short,
+    SELECT conv_id, turn, 'c' || turn AS call_id, length(text) AS n, replace(text, chr(10), ' ') AS asked,
         2 * (((turn - turn % 2) // 2) // 2) + turn % 2 AS half FROM conversations WHERE role = 'user'),
 lv(conv_id, turn, level) AS (
     SELECT conv_id, turn, 0 FROM u WHERE turn < 2
@@ -198,13 +202,13 @@ v AS (
     SELECT *,
         CASE WHEN n % 17 = 0 THEN NULL
             WHEN name = 'search' THEN '{"lang":"' || lang || '","limit":' || CASE WHEN n % 7 = 0 THEN '"many"' ELSE CAST(n % 30 AS VARCHAR) END
-                || CASE WHEN n % 11 = 0 THEN '' ELSE ',"query":' || CAST(to_json(short) AS VARCHAR) END || '}'
+                || CASE WHEN n % 11 = 0 THEN '' ELSE ',"query":' || CAST(to_json(asked) AS VARCHAR) END || '}'
             ELSE '{' || CASE WHEN n % 13 = 0 THEN '"extra":true,' ELSE '' END || '"key":'
-                || CASE WHEN n % 2 = 0 THEN CAST(turn AS VARCHAR) ELSE CAST(to_json(short) AS VARCHAR) END || '}' END AS arguments,
+                || CASE WHEN n % 2 = 0 THEN CAST(turn AS VARCHAR) ELSE CAST(to_json(asked) AS VARCHAR) END || '}' END AS arguments,
         CASE WHEN name = 'guess' THEN ['unknown tool'] WHEN n % 17 = 0 THEN ['arguments are no object']
             WHEN name = 'search' THEN list_filter([CASE WHEN lang = 'xx' THEN 'lang is not allowed' END,
                 CASE WHEN n % 7 = 0 THEN 'limit is no integer' WHEN n % 30 > 20 THEN 'limit is above its limit' END,
-                CASE WHEN n % 11 = 0 THEN 'missing query' END], lambda x: x IS NOT NULL)
+                CASE WHEN n % 11 = 0 THEN 'missing query' WHEN n > 60 THEN 'query is above its limit' END], lambda x: x IS NOT NULL)
             ELSE list_filter([CASE WHEN n % 2 = 0 THEN 'key is no string' END, CASE WHEN n % 13 = 0 THEN 'unknown extra' END], lambda x: x IS NOT NULL) END AS problems
     FROM c),
 r AS (

@@ -28,7 +28,8 @@ END_ID = 2
 SLACK = 4            # tokens that a bin may lack and still be called full
 FAN_IN = 8           # tasks merged into one by a round
 TASK_PIECES = 200_000  # pieces that a task holds at a time
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 150_000  # a worker remembers their ids: about 20 MB
+BATCH_BYTES = 4e6        # of text that a worker has in hand at a time
 
 # fixed values: white space besides the blank and the newline, as tokenizers and Python see it
 OTHER_BLANKS = ("\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0            "
@@ -84,15 +85,19 @@ class WordEncoder:
     """
 
     def __init__(self, definition: str) -> None:
-        from tokenizers import Tokenizer
+        import json
 
-        self.tokenizer = Tokenizer.from_str(definition)
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.definition, self.tokenizer = definition, None
+        special = [t["content"] for t in json.loads(definition).get("added_tokens") or []]
         runs = [a + b + c for a in " \n" for b in " \n" for c in " \n"]
         self.odd = ["\x01", *special, *runs, *OTHER_BLANKS]
         self.words = Words(merger(definition) or self.whole)
 
     def whole(self, text: str) -> list[int]:
+        if self.tokenizer is None:  # most workers never need it
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_str(self.definition)
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str) -> bytes:
@@ -125,7 +130,7 @@ def tokenised(docs: DataFrame, tokenizer_file: str, keep: list[str], text_column
         return list(zip(*found)) or [[], [], []]
 
     plain = docs.select(*[column(c).alias(c) for c in keep], column(text_column).cast("string").alias("__t"))
-    cut = appended(plain, [F.col("__t")], run, "__s array<long>, __n array<long>, __c array<long>", keep)
+    cut = appended(plain, [F.col("__t")], run, "__s array<long>, __n array<long>, __c array<long>", keep, BATCH_BYTES)
     rows = cut.select(*[column(c) for c in keep], F.posexplode(F.arrays_zip("__s", "__n", "__c")).alias("piece", "__p"))
     return rows.select(*[column(c) for c in keep], "piece", F.col("__p.__s").alias("start"), F.col("__p.__n").alias("length"),
                        F.col("__p.__c").alias("ids_crc32"))

@@ -22,7 +22,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WINDOW = 3
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-_CHUNK_WORDS = 400_000
+_CHUNK_WORDS = 150_000
+_BATCH_BYTES = 4e6        # of text that a worker has in hand at a time
 
 MIN_WORDS = 50
 MAX_REPEAT_WORDS_PERCENT = 50
@@ -164,7 +165,7 @@ def figures(docs: DataFrame, keep: list[str], text_column: str = "text", min_rep
             at += len(rows)
         return list(zip(*found)) or [[]] * 7
 
-    return appended(docs, [column(text_column).cast("string")], run, FIGURES, keep)
+    return appended(docs, [column(text_column).cast("string")], run, FIGURES, keep, _BATCH_BYTES)
 
 
 def verdicts(measured: DataFrame) -> DataFrame:

@@ -1,0 +1,94 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidecart.sources import csv_files, quoted_records
+
+
+@pytest.fixture
+def splits_of(spark):
+    """Set the size of file splits for a test."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+
+    def set_size(n):
+        for name in names:
+            spark.conf.set(name, str(n))
+
+    yield set_size
+    for name, value in zip(names, before):
+        spark.conf.set(name, value)
+
+
+def walk(line, inside):
+    """The state at a line's end, sign by sign."""
+    start, quoted, i = not inside, inside, 0
+    while i < len(line):
+        c = line[i:i + 1]
+        if quoted:
+            if c == b'"':
+                if line[i + 1:i + 2] == b'"':
+                    i += 1
+                else:
+                    quoted = False
+        elif start and c == b'"':
+            quoted = True
+        start = not quoted and c == b","
+        i += 1
+    return quoted
+
+
+def test_states_of_lines():
+    rng = random.Random(3)
+    for _ in range(20_000):
+        line = "".join(rng.choice('",,"ab') for _ in range(rng.randint(0, 12))).encode()
+        for inside in (False, True):
+            assert quoted_records.open_after(line, inside) == walk(line, inside), (line, inside)
+
+
+def rows_of(df):
+    return sorted(tuple("-" if v is None else v for v in r) for r in df.collect())
+
+
+@pytest.mark.parametrize("size, end", [(150, "\n"), (600, "\r\n"), (10_000_000, "\n")])
+def test_split_files_give_the_rows_of_whole_files(spark, tmp_path, splits_of, size, end):
+    rng = random.Random(size)
+    paths = []
+    for f in range(2):
+        lines = ["id,text,more"]
+        for i in range(40):
+            text = "".join(rng.choice(["a", " ", ",", '""', end, end, "é", "x" * 30]) for _ in range(rng.choice([0, 3, 9, 60])))
+            fields = [str(i), f'"{text}"', rng.choice(['5" pipe', "", "plain", '"q"', f'"{end}{end}"'])]
+            lines.append(",".join(fields[:rng.choice([3, 3, 3, 2])] + (["extra"] if rng.random() < 0.1 else [])))
+            if rng.random() < 0.1:
+                lines.append("")
+        path = tmp_path / f"{f}.csv"
+        path.write_bytes((end.join(lines) + (end if f else "")).encode())
+        paths.append(str(path))
+    want = csv_files._reader(spark, "utf-8", True).schema("id string, text string, more string").csv(paths)
+    want = rows_of(want.select(*[csv_files.null_markers_to_null(F.col(c)) for c in want.columns]))
+    splits_of(size)
+    assert size > 1000 or csv_files.spark_splits(spark, paths) > 8
+    assert rows_of(csv_files.read_csv(spark, paths, multi_line=True)) == want
+    dropped = csv_files.read_csv(spark, paths, multi_line=True, long_rows="drop", path_column="file")
+    files = [r.file.rsplit("/", 1)[1] for r in dropped.select("file").collect()]
+    assert 50 < len(files) < 80 and set(files) == {"0.csv", "1.csv"}
+
+
+def test_a_record_over_many_splits_and_one_that_never_ends(spark, tmp_path, splits_of):
+    long_ = "\n".join(f"line {i}" for i in range(600))
+    path = tmp_path / "a.csv"
+    path.write_text(f'a,b\n1,"{long_}"\n2,plain\n3,"open\nto the end')
+    splits_of(900)
+    got = {r.a: r.b for r in csv_files.read_csv(spark, str(path), multi_line=True).collect()}
+    assert got["1"] == long_ and got["2"] == "plain" and set(got) == {"1", "2", "3"}
+
+
+def test_header_only_and_encodings(spark, tmp_path, splits_of):
+    splits_of(20)
+    one, two = tmp_path / "a.csv", tmp_path / "b.csv"
+    one.write_text("a,b\n")
+    two.write_bytes(b'\n\na,b\n"\x80 20\n\xe9",x\n' * 1 + b'"y\n",z\n')
+    assert csv_files.read_csv(spark, str(one), multi_line=True).count() == 0
+    assert rows_of(csv_files.read_csv_files(spark, [str(two)])) == [("y\n", "z"), ("€ 20\né", "x")]

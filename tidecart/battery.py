@@ -146,6 +146,45 @@ def csv_quoted_newlines(spark, sf):
     return csv_files.read_csv_files(spark, csv_files.csv_files(spark, out)).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
+@query("csv_quoted_newlines_in_splits", """
+    SELECT doc_id, text, n_chars FROM documents""")
+def csv_quoted_newlines_in_splits(spark, sf):
+    """One large file, of which every split cuts its own records."""
+    out = scratch(spark)
+    docs = table(spark, sf, "documents").select("doc_id", "text", "n_chars")
+    docs.coalesce(1).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).csv(out)
+    back = csv_files.read_csv(spark, csv_files.csv_files(spark, out), multi_line=True)
+    return back.select(F.col("doc_id").cast("bigint"), "text", F.col("n_chars").cast("bigint"))
+
+
+@query("csv_latin1_repaired", f"""
+    SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN {ONE_LINE.format(g=", 'g'")} ELSE 'Müller – ' || doc_id END AS text FROM documents""")
+def csv_latin1_repaired(spark, sf):
+    """UTF-8 that was read as latin-1 before the file was written, repaired while it is read; plain rows stay as they are."""
+    out = scratch(spark)
+    text = F.when(F.col("doc_id") % 2 == 0, F.regexp_replace("text", r"[\n\r]", " ")).otherwise(F.concat(F.lit("Müller – "), F.col("doc_id").cast("string")))
+    broken = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+    rows = table(spark, sf, "documents").select("doc_id", broken.alias("text"))
+    rows.write.option("header", True).option("escape", '"').csv(out)
+    back = csv_files.read_csv_files(spark, csv_files.csv_files(spark, out), repair_text=True)
+    return back.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
+@query("csv_source_files", """
+    SELECT l_linenumber % 3 AS part, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_parts FROM lineitem GROUP BY ALL""")
+def csv_source_files(spark, sf):
+    """The file that a row comes from: rows of different parts lie in different files."""
+    out = scratch(spark)
+    rows = table(spark, sf, "lineitem").select("l_orderkey", (F.col("l_linenumber") % 3).alias("part"))
+    for i in range(3):
+        rows.where(F.col("part") == i).write.option("header", True).csv(f"{out}/{i}")
+    files = [p for i in range(3) for p in csv_files.csv_files(spark, f"{out}/{i}")]
+    back = csv_files.read_csv_files(spark, files, path_column="file")
+    of = F.regexp_extract("file", "/([0-9])/[^/]*$", 1)
+    return back.groupBy(F.col("part").cast("int").alias("part")).agg(F.count("*").alias("n_rows"), F.countDistinct(of).alias("n_parts"))
+
+
 @query("csv_utf16", f"SELECT doc_id, {ONE_LINE.format(g=", 'g'")} AS text FROM documents WHERE trim(text) <> ''")
 def csv_utf16(spark, sf):
     out = scratch(spark)

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidecart.functions.parsing import latin1_to_cp1252, null_markers_to_null, repair_mojibake
+from tidecart.sources import quoted_records
 
 # Candidate encodings in order of preference. latin-1 reads any byte and so ends the list.
 ENCODINGS = ["utf-8", "cp1252", "latin-1"]
-_CORRUPT = "_corrupt_record"
+_CORRUPT, _PATH = "_corrupt_record", "_source_path"
 # What Spark's reader is told for an encoding. cp1252 is read as latin-1 and moved afterwards.
 CHARSETS = {"utf-8": "UTF-8", "cp1252": "ISO-8859-1", "latin-1": "ISO-8859-1", "utf-16": "UTF-16", "utf-32": "UTF-32"}
 _NAMES = {"ascii": "utf-8", "utf_8_sig": "utf-8", "iso8859-1": "latin-1", "utf-16-le": "utf-16", "utf-16-be": "utf-16"}
@@ -102,6 +103,21 @@ def _tagged_rows(spark, path, names, encoding, multi_line) -> DataFrame:
     )
 
 
+def spark_splits(spark: SparkSession, paths: list[str]) -> int:
+    """The number of splits in which files are read."""
+    return spark.read.text(paths).select("_metadata.file_path", "_metadata.file_block_start").distinct().count()
+
+
+def _split_rows(spark: SparkSession, paths: list[str], names: list[str], encoding: str, tagged: bool) -> DataFrame:
+    """The columns of files with quoted newlines, read in splits; ``tagged`` as in ``_tagged_rows``."""
+    found = quoted_records.texts(quoted_records.records(spark, paths), CHARSETS[encoding])
+    fields = [f"c{i} string" for i in range(len(names))] + ([f"{_CORRUPT} string"] if tagged else [])
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"} | ({"columnNameOfCorruptRecord": _CORRUPT} if tagged else {})
+    parsed = found.select(F.from_csv("record", ", ".join(fields), options).alias("r"), F.col("path").alias(_PATH))
+    own = [F.col("r")[f"c{i}"].alias(n) for i, n in enumerate(names)]
+    return parsed.select(*own, *([F.col("r")[_CORRUPT].alias(_CORRUPT)] if tagged else []), _PATH)
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -109,14 +125,16 @@ def read_csv(
     long_rows: str = "truncate",
     multi_line: bool | None = None,
     repair_text: bool = False,
+    path_column: str | None = None,
 ) -> DataFrame:
     """A headered CSV as an all-string table with null markers turned into null.
 
     Short rows are padded with null. Rows with too many fields are cut to the header
     (``long_rows='truncate'``) or left out (``'drop'``). Quoted newlines are kept: files that may hold
-    some, by a test over all of their bytes, are read as a whole, each by one task; convert such files
-    to parquet once. ``multi_line`` settles this without the test. ``repair_text`` undoes UTF-8 that
-    was decoded as latin-1 before the file was written.
+    some, by a test over all of their bytes, are read in splits by ``quoted_records`` (those of wide
+    characters as a whole, each by one task). ``multi_line`` settles this without the test.
+    ``repair_text`` undoes UTF-8 that was decoded as latin-1 before the file was written.
+    ``path_column`` names a column with the file that a row comes from.
     """
     if long_rows not in ("truncate", "drop"):
         raise ValueError("long_rows must be 'truncate' or 'drop'")
@@ -131,14 +149,18 @@ def read_csv(
 
     names = _reader(spark, encoding, multi_line).csv(path).columns
     raw = StructType([StructField(n, StringType()) for n in names])
+    in_splits = multi_line and encoding not in WIDE
+    if in_splits:
+        df = _split_rows(spark, [path] if isinstance(path, str) else path, names, encoding, long_rows == "drop")
+    elif long_rows == "drop":
+        df = _tagged_rows(spark, path, names, encoding, multi_line).withColumn(_PATH, F.col("_metadata.file_path"))
+    else:
+        df = _reader(spark, encoding, multi_line).schema(raw).csv(path).withColumn(_PATH, F.col("_metadata.file_path"))
     if long_rows == "drop":
-        df = _tagged_rows(spark, path, names, encoding, multi_line)
         # short rows are marked as well; the second test always holds and keeps a plain count legal,
         # as Spark refuses to read the raw record alone
         fits = F.col(_CORRUPT).isNull() | (_field_count(F.col(_CORRUPT)) <= len(names))
         df = df.where(fits & (F.coalesce(F.octet_length(F.col(f"`{names[0]}`")), F.lit(0)) >= 0)).drop(_CORRUPT)
-    else:
-        df = _reader(spark, encoding, multi_line).schema(raw).csv(path)
 
     def cell(name: str):
         c = F.col(f"`{name}`")
@@ -148,7 +170,8 @@ def read_csv(
             c = repair_mojibake(c)
         return null_markers_to_null(c).alias(_decode_name(name, encoding))
 
-    return df.select(*[cell(n) for n in names])
+    source = [] if path_column is None else [F.col(_PATH).alias(path_column)]
+    return df.select(*[cell(n) for n in names], *source)
 
 
 def _decode_name(name: str, encoding: str) -> str:

@@ -3,9 +3,9 @@
 A shard is as many documents as a task holds at a time. A phrase with a global count of at least the
 support has, in one shard at least, its share of it: the support times the shard's part of the
 language's words, rounded up. So each shard is mined completely at that lowered support, level by level
-(pairs, then longer phrases whose pairs are frequent); the union of what shards find is cut down by the
-most that a phrase can still have where no shard reported it, and what is left is counted exactly over
-all documents. Candidates travel to the counting tasks as a bit table of fixed size, by hash: phrases
+(pairs, then longer phrases whose pairs are frequent), and the union of what shards find is counted
+exactly over all documents. Where there are as many shards as the support or more, the lowered support is
+one and the shards' counts add up; the union is then cut to the phrases whose sum reaches the support. Candidates travel to the counting tasks as a bit table of fixed size, by hash: phrases
 that share a bit by chance are counted too and fall to the support afterwards, so no result depends on
 hashes and no task holds a table that grows with the corpus.
 """
@@ -29,7 +29,7 @@ LONGEST = 4               # words of a phrase
 ABSORBED_PERCENT = 80     # of a phrase's count: a longer phrase with that many replaces it
 TOP = 2000
 SCORE_SCALE = 2_000_000
-SHARD_WORDS = 4_000_000   # words that a task mines at a time
+SHARD_WORDS = 500_000     # words that a task mines at a time
 TABLE_BITS = 27           # the bit table of candidates has 2 ** 27 bits: 16 MiB
 BROADCAST_BYTES = 16 * 1024 * 1024
 _CHUNK = 1 << 20          # bytes of a text divided into words at a time
@@ -41,11 +41,24 @@ _TABLE = bytes(0xFF if b in ENDS else 0x20 if b in BLANKS else b for b in range(
 _TABLE = bytes(_TABLE[b + 32] if 65 <= b <= 90 else _TABLE[b] for b in range(256))
 
 
+class Known(dict):
+    """Numbers of a language's words, given when a word is first met."""
+
+    def __init__(self, lang: str, named: list) -> None:
+        super().__init__({b"\xff": 0})
+        self.lang, self.named = lang, named
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.named)
+        self.named.append((self.lang, word))
+        return number
+
+
 class Shard:
     """The words of some documents, one after the other, as numbers of (language, word); number 0 ends a piece."""
 
     def __init__(self) -> None:
-        self.langs: dict[str, dict[bytes, int]] = {}
+        self.langs: dict[str, Known] = {}
         self.named: list[tuple[str, bytes]] = [("", b"")]
         self.parts: list = []
         self.n = 0
@@ -53,18 +66,16 @@ class Shard:
     def add(self, lang: str, text: bytes) -> None:
         import numpy as np
 
-        known = self.langs.setdefault(lang, {b"\xff": 0})
+        if lang not in self.langs:
+            self.langs[lang] = Known(lang, self.named)
+        number = self.langs[lang].__getitem__
         plain = text.translate(_TABLE)
         at = 0
         while at < len(plain):
             end = plain.find(b"\xff", at + _CHUNK)
             end = len(plain) if end < 0 else end
-            words = plain[at:end].replace(b"\xff", b" \xff ").split(b" ")
-            words = [w for w in words if w]
-            for w in set(words).difference(known):
-                known[w] = len(self.named)
-                self.named.append((lang, w))
-            self.parts.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+            words = plain[at:end].replace(b"\xff", b" \xff ").split()  # of white space only blanks are left
+            self.parts.append(np.fromiter(map(number, words), np.int32, len(words)))
             self.n += len(words)
             at = end
         self.parts.append(np.zeros(1, np.int32))
@@ -80,8 +91,8 @@ class Shard:
         import xxhash
 
         digest = xxhash.xxh64_intdigest
-        seeds = {lang: digest(lang.encode()) for lang in self.langs}
-        return np.fromiter((digest(w, seeds[lang] if lang in seeds else 0) for lang, w in self.named), np.uint64, len(self.named))
+        seeds = {"": 0} | {lang: digest(lang.encode()) for lang in self.langs}
+        return np.fromiter((digest(w, seeds[lang]) for lang, w in self.named), np.uint64, len(self.named))
 
     def support(self, totals: dict[str, int], support: int):
         """For each number the lowered support of its language in this shard."""
@@ -89,7 +100,8 @@ class Shard:
 
         codes = {lang: i for i, lang in enumerate(self.langs)}
         of = np.array([codes.get(lang, 0) for lang, _ in self.named])
-        words = np.bincount(of[self.numbers()], weights=self.numbers() > 0, minlength=len(codes)).astype(np.int64)
+        numbers = self.numbers()
+        words = np.bincount(of[numbers], weights=numbers > 0, minlength=len(codes)).astype(np.int64)
         least = np.array([-(-support * int(words[i]) // max(1, totals.get(lang, 1))) for lang, i in codes.items()] or [1])
         return np.maximum(1, least)[of]
 
@@ -187,51 +199,40 @@ def word_counts(docs: DataFrame, lang_column: str, text_column: str, shard_words
 
 
 def mined(docs: DataFrame, lang_column: str, text_column: str, lengths: list[int], table, totals: dict[str, int], support: int, shard_words: int) -> DataFrame:
-    """(key, lang, n, slack) of what each shard finds frequent; ``table`` has the parts a phrase may consist of.
+    """(key) of the phrases that some shard finds frequent and that can reach the support.
 
-    ``slack`` is the most that a phrase can have in a shard that does not report it. One row per shard and
-    language with key null carries that shard's slack for all phrases of the language.
+    ``table`` has the parts that a phrase may consist of. Where the corpus has as many shards as the
+    support or more, a shard's share of the support is one: what shards report are then all occurrences,
+    and their sum is exact. With fewer shards each reports by its own share, and all that is reported stays.
     """
+    complete = sum(totals.values()) >= support * shard_words
+    unsure = 0 if complete else 1 << 40  # added to a count that is no sum over all shards
 
     def work(shard):
         import numpy as np
 
-        numbers, hashes, least = shard.numbers(), shard.hashes(), shard.support(totals, support)
-        part = hashes[numbers]
-        langs = [lang for lang, _ in shard.named]
-        out: list = [[], [], [], []]
+        numbers = shard.numbers()
+        part = shard.hashes()[numbers]
+        least = None if complete else shard.support(totals, support)
+        keys, found = [], []
         for length in lengths:
             at = places(numbers, length)
             small = 1 if length == 2 else 2  # pairs consist of frequent words, longer phrases of frequent pairs
             for k in range(length - small + 1):
                 at = at[set_bits(table, mixed(part, small, at + k))]
-            _, first, counts = classes(numbers, at, length)
-            often = counts >= least[numbers[first]]
-            first, counts = first[often], counts[often]
-            out[0].append(mixed(part, length, first).view(np.int64))
-            out[1] += [langs[n] for n in numbers[first].tolist()]
-            out[2].append(counts)
-            out[3].append(least[numbers[first]] - 1)
-        keys = np.concatenate(out[0])
-        own = {lang: least[known_number] - 1 for lang, known_number in ((lang, max(known.values())) for lang, known in shard.langs.items()) if known_number}
-        import pyarrow as pa
-
-        return [pa.concat_arrays([pa.array(keys, pa.int64()), pa.nulls(len(own), pa.int64())]), out[1] + list(own),
-                np.concatenate([*out[2], np.zeros(len(own), np.int64)]), np.concatenate([*out[3], np.array(list(own.values()), np.int64)])]
-
-    return over_shards(docs, lang_column, text_column, work, "key long, lang string, n long, slack long", shard_words)
-
+            hashed = mixed(part, length, at)
+            if complete:
+                key, counts = np.unique(hashed, return_counts=True)
+            else:
+                key, first, counts = np.unique(hashed, return_index=True, return_counts=True)
+                often = counts >= least[numbers[at[first]]]
+                key, counts = key[often], counts[often]
+            keys.append(key.view(np.int64))
+            found.append(counts + unsure)
+        return [np.concatenate(keys), np.concatenate(found)]
 
-def union_of(found: DataFrame, support: int) -> DataFrame:
-    """(key) of the phrases that can reach the support: what shards reported plus the most that the others may have."""
-    found = pin(found)
-    slack = found.where("key is null").groupBy("lang").agg(F.sum("slack").alias("total"))
-    total = {r.lang: r.total for r in slack.where("total > 0").collect()}  # languages, not phrases
-    summed = found.where("key is not null").groupBy("key", "lang").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
-    rest = F.lit(0).cast("long")
-    if total:
-        rest = F.coalesce(F.create_map(*[F.lit(x) for pair in total.items() for x in pair])[F.col("lang")], F.lit(0)) - F.col("slack")
-    return summed.where(F.col("n") + rest >= support).select("key")
+    found = over_shards(docs, lang_column, text_column, work, "key long, n long", shard_words)
+    return found.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= support).select("key")
 
 
 def bit_table(keys: DataFrame, bits: int):
@@ -239,7 +240,7 @@ def bit_table(keys: DataFrame, bits: int):
     import numpy as np
 
     slot = F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
-    words = keys.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(key & 63 as int))")).alias("word"))
+    words = keys.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63 as int))")).alias("word"))
     found = words.toArrow()
     table = np.zeros(1 << (bits - 6), np.int64)
     table[found["at"].to_numpy()] = found["word"].to_numpy()
@@ -281,8 +282,7 @@ def frequent(docs: DataFrame, lang_column: str = "lang", text_column: str = "tex
     for lengths in ([2], list(range(3, longest + 1))):
         if not lengths:
             break
-        keys = union_of(mined(*own, lengths, table, totals, support, shard_words), support)
-        table = bit_table(keys, table_bits)
+        table = bit_table(mined(*own, lengths, table, totals, support, shard_words), table_bits)
         parts.append(counted(*own, lengths, table, support, shard_words).withColumn("length", F.size(F.split("phrase", " "))))
     whole = parts[0]
     for part in parts[1:]:

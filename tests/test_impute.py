@@ -67,6 +67,17 @@ def test_knn_matches_brute_force(spark, block_rows, single_round, kind):
     np.testing.assert_allclose(got, brute_knn(pdf.to_numpy(), 5), rtol=1e-9)
 
 
+@pytest.mark.parametrize("block_rows", [2048, 16])
+@pytest.mark.parametrize("width", [45, 70])
+def test_knn_of_wide_tables_matches_brute_force(spark, block_rows, width):
+    rng = np.random.default_rng(width)
+    pdf = holes(pd.DataFrame(rng.normal(size=(60, width)), columns=[f"c{i}" for i in range(width)]), 0.02, 2)
+    columns = list(pdf)
+    df = to_spark(spark, pdf)
+    got = back(KnnImputer(columns, block_rows=block_rows).fit(df).transform(df), columns)
+    np.testing.assert_allclose(got, brute_knn(pdf.to_numpy(), 5), rtol=1e-9)
+
+
 def test_knn_edges(spark):
     one = to_spark(spark, pd.DataFrame({"a": [1.0, 2.0, 6.0, np.nan]}))
     assert back(KnnImputer(["a"]).fit(one).transform(one), ["a"]).ravel().tolist() == [1, 2, 6, 3]
@@ -154,6 +165,27 @@ def test_chained_matches_sequential_rounds(spark, noise):
     np.testing.assert_allclose(back(model.transform(df), columns), want, rtol=1e-6)
 
 
+def test_chained_over_rows_gives_the_same(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(300, 12)) @ rng.normal(size=(12, 12))
+    pdf = holes(pd.DataFrame(base, columns=[f"c{i}" for i in range(12)]), 0.1, 3)
+    df = to_spark(spark, pdf)
+    want = back(ChainedImputer(list(pdf), rounds=2).fit(df).transform(df), list(pdf))
+    model = ChainedImputer(list(pdf), rounds=2, pattern_bytes=0).fit(df)
+    np.testing.assert_allclose(back(model.transform(df), list(pdf)), want, rtol=1e-6, atol=1e-8)
+
+
+def test_chained_wide_table_with_scattered_holes(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(400, 3)) @ rng.normal(size=(3, 40))
+    pdf = holes(pd.DataFrame(base, columns=[f"c{i}" for i in range(40)]), 0.1, 4)
+    df = to_spark(spark, pdf)
+    model = ChainedImputer(list(pdf), rounds=1, pattern_bytes=1_000_000).fit(df)
+    got = back(model.transform(df), list(pdf))
+    hole = pdf.isna().to_numpy()
+    assert not np.isnan(got).any() and np.abs(got - base)[hole].mean() < 0.5 * np.abs(base)[hole].mean()
+
+
 def test_chained_edges(spark):
     one = to_spark(spark, pd.DataFrame({"a": [1.0, 5.0, np.nan]}))
     assert back(ChainedImputer(["a"]).fit(one).transform(one), ["a"]).ravel().tolist() == [1, 5, 3]

@@ -21,6 +21,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidecart.session import pin
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Rounds and stopping share of the largest present value; the regression's priors,
@@ -31,6 +33,9 @@ PRIOR = 1e-6
 RIDGE_ITERATIONS = 300
 RIDGE_TOLERANCE = 1e-3
 
+_FEW = 10  # columns whose patterns are few enough without a count
+PATTERN_BYTES = 64 * 1024 * 1024  # of cross products per pattern that the driver takes
+
 Regression = tuple[int, np.ndarray, float]  # column, weights of the other columns, constant
 
 
@@ -87,6 +92,28 @@ def _refill(maps: np.ndarray, present: np.ndarray, j: int, w: np.ndarray, base:
     maps[holes, j] = update
 
 
+def advance(x: np.ndarray, present: np.ndarray, regressions: list[Regression]) -> None:
+    """Fill the holes of rows (centred, zero where nothing was filled yet) by the regressions, one after the other."""
+    for j, w, base in regressions:
+        holes = ~present[:, j]
+        x[holes, j] = np.delete(x[holes], j, axis=1) @ w + base
+
+
+def regression(total: np.ndarray, j: int) -> Regression:
+    """The regression of column ``j`` from the cross products of (1, filled columns) over the rows that have it."""
+    n, sums, products = total[0, 0], total[0, 1:], total[1:, 1:]
+    others = [i for i in range(len(sums)) if i != j]
+    centred = products - np.outer(sums, sums) / n
+    w = bayesian_ridge(centred[np.ix_(others, others)], centred[others, j], centred[j, j], int(n))
+    return j, w, (sums[j] - w @ sums[others]) / n
+
+
+def _rows_of(batch) -> tuple[np.ndarray, np.ndarray]:
+    """Filled values and presence of a batch of (x array<double>, pattern)."""
+    x = np.array(batch.column(0).to_pylist(), dtype=float)
+    return x, presence(batch.column(1).to_pylist())
+
+
 @dataclass
 class ChainedImputer:
     """Fill the holes of ``targets`` from regressions among ``columns``."""
@@ -94,6 +121,7 @@ class ChainedImputer:
     columns: list[str]
     targets: list[str] | None = None
     rounds: int = ROUNDS
+    pattern_bytes: int = PATTERN_BYTES
     means: dict[str, float] = field(default_factory=dict)
 
     def _centred(self) -> list[Column]:
@@ -119,6 +147,12 @@ class ChainedImputer:
         order = sorted(range(k), key=lambda i: -row[f"n{i}"])  # fewest missing first, stable
 
         z = self._centred()
+        patterns = df.select(self._pattern().alias("pattern")).distinct().count() if k > _FEW else 1
+        if patterns * (k + 1) ** 2 * 8 > self.pattern_bytes:
+            rows = pin(df.select(F.array(*z).alias("x"), self._pattern().alias("pattern")))
+            self.regressions = self._run_over_rows(rows, order)
+            self._choose(df, stop)
+            return self
         pairs = [(i, j) for i in range(k) for j in range(i, k)]
         sums = df.groupBy(self._pattern().alias("pattern")).agg(
             F.count(F.lit(1)).alias("rows"),
@@ -146,19 +180,62 @@ class ChainedImputer:
         for _ in range(self.rounds):
             done = []
             for j in order:
-                others = [i for i in range(k) if i != j]
                 has = present[:, j]
                 t, m = maps[has], moments[has]
-                total = np.einsum("pac,pcd,pbd->ab", t, m, t, optimize=True)
-                sums = np.einsum("pac,pc->a", t, m[:, :, 0])
-                n = m[:, 0, 0].sum()
-                centred = total - np.outer(sums, sums) / n
-                w = bayesian_ridge(centred[np.ix_(others, others)], centred[others, j], centred[j, j], int(n))
-                done.append((j, w, (sums[j] - w @ sums[others]) / n))
+                total = np.empty((k + 1, k + 1))
+                total[1:, 1:] = np.einsum("pac,pcd,pbd->ab", t, m, t, optimize=True)
+                total[0, 1:] = total[1:, 0] = np.einsum("pac,pc->a", t, m[:, :, 0])
+                total[0, 0] = m[:, 0, 0].sum()
+                done.append(regression(total, j))
                 _refill(maps, present, *done[-1])
             rounds.append(done)
         return rounds
 
+    def _run_over_rows(self, rows: DataFrame, order: list[int]) -> list[list[Regression]]:
+        """The same from a table of (x, pattern): a pass per regression brings (columns + 1) squared sums to the driver."""
+        k = len(self.columns)
+
+        def total_of(table: DataFrame, j: int, done: list[Regression]) -> np.ndarray:
+            def sums(batches):
+                import pyarrow as pa
+
+                total = np.zeros((k + 1, k + 1))
+                for batch in batches:
+                    x, present = _rows_of(batch)
+                    has = present[:, j]
+                    x, present = x[has], present[has]
+                    advance(x, present, done)
+                    one = np.column_stack([np.ones(len(x)), x])
+                    total += one.T @ one
+                yield pa.RecordBatch.from_pydict({"cell": pa.array(range((k + 1) ** 2), pa.int32()), "value": pa.array(total.ravel())})
+
+            found = table.mapInArrow(sums, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).toPandas()
+            total = np.zeros((k + 1) ** 2)
+            total[found["cell"]] = found["value"]
+            return total.reshape(k + 1, k + 1)
+
+        def after(table: DataFrame, done: list[Regression]) -> DataFrame:
+            def filled(batches):
+                import pyarrow as pa
+
+                for batch in batches:
+                    x, present = _rows_of(batch)
+                    advance(x, present, done)
+                    values = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * k, pa.int32()), pa.array(x.ravel()))
+                    yield pa.RecordBatch.from_arrays([values, batch.column(1)], names=["x", "pattern"])
+
+            return pin(table.mapInArrow(filled, "x array<double>, pattern string"))
+
+        rounds = []
+        for r in range(self.rounds):
+            done: list[Regression] = []
+            for j in order:
+                done.append(regression(total_of(rows, j, done), j))
+            rounds.append(done)
+            if r + 1 < self.rounds:
+                rows = after(rows, done)
+        return rounds
+
     def _choose(self, df: DataFrame, stop: float) -> None:
         """Stop after the first round in which no row changed by ``stop`` or more in total."""
         rounds = self.regressions
@@ -170,6 +247,14 @@ class ChainedImputer:
             for batch in batches:
                 z = np.column_stack([np.ones(len(batch)), batch.drop(columns="__pattern").to_numpy(dtype=float)])
                 largest = np.zeros(n_rounds)
+                if batch["__pattern"].nunique() * z.shape[1] > len(z):  # row by row is less work than a map for each pattern
+                    present, now = presence(list(batch["__pattern"])), z[:, 1:].copy()
+                    for i, regressions in enumerate(rounds):
+                        before = now.copy()
+                        advance(now, present, regressions)
+                        largest[i] = np.abs(now - before).sum(axis=1).max()
+                    yield pd.DataFrame([largest], columns=[f"r{i}" for i in range(n_rounds)])
+                    continue
                 for pattern, at in batch.groupby("__pattern").indices.items():
                     maps = np.concatenate(replayed(presence([pattern]), rounds))
                     moved = np.abs(np.einsum("rjc,nc->rnj", np.diff(maps, axis=0), z[at])).sum(axis=2)
@@ -203,6 +288,11 @@ class ChainedImputer:
         def filled(pattern: pd.Series, *z: pd.Series) -> pd.Series:
             cells = [np.ones(len(pattern)), *[c.to_numpy(dtype=float) for c in z]]
             out = np.empty((len(pattern), width))
+            if pattern.nunique() * len(z) > len(pattern):
+                x = np.column_stack(cells[1:])
+                for regressions in rounds:
+                    advance(x, presence(list(pattern)), regressions)
+                return pd.Series(list(x[:, target_at] + np.array(means)), index=pattern.index)
             for p, at in pattern.groupby(pattern).indices.items():
                 maps = replayed(presence([p]), rounds)[-1][0]
                 for i, (row, mean) in enumerate(zip(target_at, means)):

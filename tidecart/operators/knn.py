@@ -37,6 +37,8 @@ _MAX_LEAVES = 16_384
 _DISTANCES_AT_ONCE = 1_000_000
 _TILE = 1 << 16
 _LEAF_BITS = 20
+_NARROW = 62 - _LEAF_BITS  # columns whose missing pattern fits a block's number as bits; wider ones go by a dictionary
+_WORD_BITS = 50            # targets marked by one number, which passes through a double
 
 
 @dataclass
@@ -90,9 +92,21 @@ def _tasks(distances: float) -> int:
     return int(max(distances / 2e7, 1))
 
 
-def _patterns(x: np.ndarray) -> np.ndarray:
-    """Bit i set where column i is present."""
-    return (~np.isnan(x)) @ (1 << np.arange(x.shape[1], dtype=np.int64))
+def _patterns(x: np.ndarray, numbers: dict[bytes, int] | None) -> np.ndarray:
+    """A number for each row's missing pattern: bit i set where column i is present, or as the dictionary has it."""
+    if numbers is None:
+        return (~np.isnan(x)) @ (1 << np.arange(x.shape[1], dtype=np.int64))
+    rows, of = np.unique(np.packbits(~np.isnan(x), axis=1), axis=0, return_inverse=True)
+    return np.array([numbers[r.tobytes()] for r in rows], dtype=np.int64)[of.ravel()]
+
+
+def _pattern_numbers(donors: DataFrame, columns: list[str]) -> dict[bytes, int] | None:
+    """Patterns of more columns than fit a number, by what ``np.packbits`` makes of them. There is a block for each anyway."""
+    if len(columns) <= _NARROW:
+        return None
+    text = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "0").otherwise("1") for c in columns])
+    found = sorted(r[0] for r in donors.select(text).distinct().collect())
+    return {np.packbits(np.frombuffer(t.encode(), np.uint8) == 49).tobytes(): i for i, t in enumerate(found)}
 
 
 def _vectors(df: DataFrame, columns: list[str], count: str) -> DataFrame:
@@ -128,12 +142,13 @@ class KnnImputer:
               for i, c in enumerate(cols)],
         ).first()
         self.means = {c: totals[f"m{i}"] for i, c in enumerate(self.columns)}
-        cuts = self._cut(donors.select(*cols), totals["vectors"])
+        numbers = _pattern_numbers(donors, self.columns)
+        cuts = self._cut(donors.select(*cols), totals["vectors"], numbers)
 
         def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 x = batch.iloc[:, :width].to_numpy(dtype=float)
-                pattern = _patterns(x)
+                pattern = _patterns(x, numbers)
                 leaf = np.zeros(len(batch), dtype=np.int64)
                 chunks = np.ones(len(batch), dtype=np.int64)
                 for p in np.unique(pattern):
@@ -145,7 +160,7 @@ class KnnImputer:
                 yield batch.drop(columns="__hash").assign(__block=(pattern << _LEAF_BITS) + leaf, __chunk=chunk)
 
         schema = StructType([*donors.schema.fields, StructField("__block", LongType()), StructField("__chunk", LongType())])
-        if cuts:
+        if cuts or numbers is not None:
             hashed = donors.withColumn("__hash", F.pmod(F.xxhash64(*cols), F.lit(1 << 40)))
             placed = hashed.repartition(_tasks(totals["vectors"] * 100)).mapInPandas(assign, schema)
         else:
@@ -175,14 +190,14 @@ class KnnImputer:
         }
         return self
 
-    def _cut(self, vectors: DataFrame, n: int) -> dict[int, Cut]:
+    def _cut(self, vectors: DataFrame, n: int, numbers: dict[bytes, int] | None) -> dict[int, Cut]:
         """Cut points from a sample. They only place the borders of blocks."""
         leaves = min(_MAX_LEAVES, -(-n // self.block_rows))
         if leaves <= 1:
             return {}
         fraction = min(1.0, leaves * _SAMPLES_PER_LEAF / n)
         sample = vectors.sample(fraction, seed=1).toPandas().to_numpy(dtype=float)
-        pattern = _patterns(sample)
+        pattern = _patterns(sample, numbers)
         leaf_points = max(1, int(n / leaves * fraction))
         chunks_of = lambda points: max(1, round(points / fraction / self.block_rows))
         cuts = {}
@@ -282,11 +297,12 @@ class KnnImputer:
         width, k = len(self.columns), self.k
         boxes = self.boxes
         target_at = [self.columns.index(t) for t in self.targets]
+        words = self._words()
         box_present = ~np.isnan(boxes["low"])
         low, high = np.nan_to_num(boxes["low"]), np.nan_to_num(boxes["high"])
 
         def choose(x: np.ndarray, reach: np.ndarray) -> np.ndarray:
-            """Targets (as bits) that each block may serve, for some receivers at once."""
+            """Targets (as bits of one or more numbers) that each block may serve, for some receivers at once."""
             present = ~np.isnan(x)
             n_shared = present.astype(np.int64) @ box_present.T.astype(np.int64)
             nearest, farthest = np.zeros(n_shared.shape), np.zeros(n_shared.shape)
@@ -299,7 +315,7 @@ class KnnImputer:
             scale = width / np.maximum(n_shared, 1)
             nearest = np.sqrt(nearest * scale) * (1 - 1e-12)
             farthest = np.sqrt(farthest * scale) * (1 + 1e-12)
-            bits = np.zeros(n_shared.shape, dtype=np.int64)
+            bits = np.zeros((words, *n_shared.shape), dtype=np.int64)
             for i, t in enumerate(target_at):
                 able = box_present[None, :, t] & (n_shared > 0) & ~present[:, t, None]
                 if which is not None:
@@ -315,7 +331,7 @@ class KnnImputer:
                         able &= home
                     else:
                         able &= ~home & (nearest <= reach[:, i, None])
-                bits |= able.astype(np.int64) << i
+                bits[i // _WORD_BITS] |= able.astype(np.int64) << (i % _WORD_BITS)
             return bits
 
         at_once = max(1, _DISTANCES_AT_ONCE // max(1, len(boxes["block"])))
@@ -326,18 +342,23 @@ class KnnImputer:
                     some = batch.iloc[start : start + at_once]
                     x = some.iloc[:, :width].to_numpy(dtype=float)
                     bits = choose(x, np.stack(some["__reach"]))
-                    rows, block = np.nonzero(bits)
+                    rows, block = np.nonzero(bits.any(axis=0))
                     if len(rows):
-                        yield some.iloc[rows].assign(__block=boxes["block"][block], __bits=bits[rows, block])
+                        marks = {f"__bits{w}": bits[w, rows, block] for w in range(words)}
+                        yield some.iloc[rows].assign(__block=boxes["block"][block], **marks)
 
         keys = [F.col(f"`{c}`") for c in self.columns]
         if which != "far":
             receivers = receivers.withColumn("__reach", F.array_repeat(F.lit(float("inf")), len(self.targets)))
         used = receivers.select(*keys, "__w", "__reach").repartition(_tasks(n_receivers * len(boxes["block"])))
         schema = StructType([*used.schema.fields,
-                             StructField("__block", LongType()), StructField("__bits", LongType())])
+                             StructField("__block", LongType()), *[StructField(f"__bits{w}", LongType()) for w in range(words)]])
         return used.mapInPandas(expand, schema)
 
+    def _words(self) -> int:
+        """Numbers that hold a bit for each target."""
+        return -(-len(self.targets) // _WORD_BITS)
+
     def _load(self, candidates: DataFrame) -> dict[int, int]:
         """Receivers per block: at most an entry per box."""
         counted = candidates.groupBy("__block").agg(F.count(F.lit(1)).alias("c")).toPandas()
@@ -345,7 +366,7 @@ class KnnImputer:
 
     def _search(self, candidates: DataFrame, load: dict[int, int]) -> DataFrame:
         """Nearest donors of each candidate within its block: (vector, weight, target, donor)."""
-        width, k = len(self.columns), self.k
+        width, k, words = len(self.columns), self.k, self._words()
         keys = [F.col(f"`{c}`") for c in self.columns]
         vectors = dict(zip(self.boxes["block"], self.boxes["vectors"]))
         pairs = sum(float(c) * vectors[b] for b, c in load.items())
@@ -357,7 +378,7 @@ class KnnImputer:
             .repartition(_tasks(pairs), "__block", "__salt")
             .groupBy("__block", "__salt")
             .agg(F.flatten(F.collect_list(
-                F.concat(F.array(*keys, F.col("__w").cast("double"), F.col("__bits").cast("double")), F.col("__reach"))))
+                F.concat(F.array(*keys, F.col("__w").cast("double"), *[F.col(f"__bits{w}").cast("double") for w in range(words)]), F.col("__reach"))))
                 .alias("__receivers"))
         )
         spread = (
@@ -371,7 +392,7 @@ class KnnImputer:
         def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for receivers, donors in zip(batch["__receivers"], batch["__donors"]):
-                    r = np.asarray(receivers, dtype=float).reshape(-1, width + 2 + len(target_at))
+                    r = np.asarray(receivers, dtype=float).reshape(-1, width + 1 + words + len(target_at))
                     d = np.asarray(donors, dtype=float).reshape(-1, width + 1)
                     yield from _nearest_in_block(r, d, width, k, target_at, columns)
 
@@ -386,16 +407,17 @@ def _nearest_in_block(r, d, width, k, target_at, columns) -> Iterator[pd.DataFra
     ``r``: vector, weight, target bits and the distance to beat per target; ``d``: vector, count.
     Receivers go through in tiles of one missing pattern, small enough for the processor's cache.
     """
-    x, bits, reach = r[:, :width], r[:, width + 1].astype(np.int64), r[:, width + 2 :]
+    words = -(-len(target_at) // _WORD_BITS)
+    x, bits, reach = r[:, :width], r[:, width + 1 : width + 1 + words].astype(np.int64), r[:, width + 1 + words :]
     y, count = d[:, :width], d[:, width]
     donor_has = ~np.isnan(y[0])
     by_column = np.ascontiguousarray(y.T)
     tile_rows = max(1, _TILE // len(y))
     squares, gaps = np.empty((tile_rows, len(y))), np.empty((tile_rows, len(y)))
     found = []
-    pattern = _patterns(x)
-    for p in np.unique(pattern):
-        mine = np.flatnonzero(pattern == p)
+    kinds, pattern = np.unique(np.packbits(~np.isnan(x), axis=1), axis=0, return_inverse=True)
+    for p in range(len(kinds)):
+        mine = np.flatnonzero(pattern.ravel() == p)
         dims = np.flatnonzero(~np.isnan(x[mine[0]]) & donor_has)
         for start in range(0, len(mine), tile_rows):
             rows = mine[start : start + tile_rows]
@@ -407,7 +429,7 @@ def _nearest_in_block(r, d, width, k, target_at, columns) -> Iterator[pd.DataFra
                 square += gap
             square *= width / len(dims)
             for i, t in enumerate(target_at):
-                asked = np.flatnonzero((bits[rows] >> i) & 1)
+                asked = np.flatnonzero((bits[rows, i // _WORD_BITS] >> (i % _WORD_BITS)) & 1)
                 if len(asked):
                     near = _k_smallest(square, asked, reach[rows, i], by_column[t], count, k)
                     if near is not None:

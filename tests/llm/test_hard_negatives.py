@@ -1,0 +1,62 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidecart.llm import hard_negatives as hn
+
+
+def brute(rows, anchors, scale=256):
+    """(anchor, positive, rank, negative, scores) by scoring every row against every anchor."""
+    good = {}
+    for i, label, vec in rows:
+        if label is None or vec is None or any(x is None or not math.isfinite(x) for x in vec):
+            continue
+        row = (label, [math.floor(scale * x) for x in vec])
+        good[i] = min(good.get(i, row), row)
+    out = []
+    for a in anchors:
+        if a not in good:
+            continue
+        label, vec = good[a]
+        score = {i: sum(x * y for x, y in zip(v, vec)) for i, (_, v) in good.items() if i != a}
+        order = sorted(score, key=lambda i: (-score[i], i))
+        for p in [i for i in order if good[i][0] == label][:5]:
+            found = [i for i in order if good[i][0] != label and 80 * score[p] <= 100 * score[i] <= 100 * score[p]][:5]
+            out += [(a, p, k + 1, n, score[p], score[n]) for k, n in enumerate(found)]
+    return sorted(out)
+
+
+def mined(spark, rows, every, **options):
+    table = spark.createDataFrame(rows, "vec_id long, label int, vector array<double>").repartition(4)
+    valid = hn.valid_rows(table, "vec_id", F.col("label"), "vector")
+    return sorted(tuple(r) for r in hn.mine(valid, F.col("id") % every == 0, **options).collect())
+
+
+@pytest.mark.parametrize("options", [{}, {"block_anchors": 7, "size": 5, "sample_rows": 20}])
+def test_mined_rows_match_brute_force(spark, options):
+    rng = random.Random(2)
+    rows = []
+    for i in range(400):
+        centre = [rng.choice([-0.3, 0.2, 0.4]) for _ in range(6)]
+        vec = [c + rng.choice([0, 0, rng.gauss(0, 0.1)]) for c in centre]
+        rows.append((i, rng.choice([0, 1, 1, 2]), vec))
+    rows += [(1000 + i, i % 3, [0.3] * 6) for i in range(60)]  # copies: ties
+    rows += [(500, None, [1.0] * 6), (501, 1, None), (510, 1, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (511, 1, [float("nan")] * 6), (520, 1, [float("inf")] + [0.0] * 5),
+             (530, 1, []), (540, 1, [0.5, 0.5]), (20, 0, [0.9] * 6), (20, 0, [0.9] * 6), (550, 9, [0.1] * 6)]
+    got = mined(spark, rows, 10, **options)
+    want = brute(rows, [i for i in range(0, 2000, 10)])
+    assert got == want and len(want) > 300
+
+
+def test_large_components_stay_exact(spark):
+    rows = [(i, i % 2, [float(2 ** 23 + i), float(-(2 ** 22) + 3 * i), 1.0 * i]) for i in range(40)]
+    assert mined(spark, rows, 10) == brute(rows, range(0, 40, 10))
+
+
+def test_small_tables(spark):
+    assert mined(spark, [], 10) == []
+    assert mined(spark, [(0, 1, [1.0])], 10) == []
+    assert mined(spark, [(0, 1, [1.0]), (1, 1, [1.0]), (2, 2, [1.0]), (None, 2, [0.9])], 10) == [
+        (0, 1, 1, 2, 65536, 65536), (0, 1, 2, None, 65536, 256 * 230)]

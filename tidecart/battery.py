@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecart.functions import dates, features, parsing
-from tidecart.operators import dedup, groups, profile, reports, schema
+from tidecart.operators import dedup, groups, profile, reports, schema, sketches
 from tidecart.operators.chained import ChainedImputer
 from tidecart.operators.impute import SmartImputer, fill_median, imputation_plan
 from tidecart.operators.knn import KnnImputer
@@ -1382,3 +1382,31 @@ def recipe_marketing(spark, sf):
 def recipe_marketing_older(spark, sf):
     raw = _marketing(spark, sf, {"Price": 30, "Average Rating": 9, "Num Of Reviews": 7, "Monthly Price": 3})
     return recipes.clean_marketing_older(raw)
+
+
+# ---- sketches that unite over runs --------------------------------------------------------------
+
+@query("sketched_distinct_counts", """
+    SELECT c AS "column", true AS within FROM (VALUES ('l_orderkey'), ('l_partkey'), ('l_shipdate'), ('l_quantity')) t(c)""")
+def sketched_distinct_counts(spark, sf):
+    """Sketches of two halves, united, against exact counts: within four standard errors."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate", "l_quantity")
+    halves = [sketches.distinct_sketches(lines.where(F.col("l_orderkey") % 2 == i)) for i in range(2)]
+    found = sketches.estimated_distinct(sketches.united_distinct(*halves)).withColumnRenamed("n_unique", "estimate")
+    exact = profile.distinct_counts(lines)
+    return found.join(exact, "column").select("column", (F.abs(F.col("estimate") - F.col("n_unique")) <= 1 + 0.065 * F.col("n_unique")).alias("within"))
+
+
+@query("sketched_quantiles", """
+    SELECT c AS "column", r AS rank, true AS within FROM (VALUES ('l_quantity'), ('l_extendedprice')) t(c), (VALUES (0.1), (0.5), (0.9)) q(r)""".replace(
+    "r AS rank", "CAST(r AS DOUBLE) AS rank"))
+def sketched_quantiles(spark, sf):
+    """Sketches of two halves, united: the share of values below the estimate is near its rank."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_quantity").cast("double"), F.col("l_extendedprice").cast("double"))
+    columns = ["l_quantity", "l_extendedprice"]
+    halves = [sketches.quantile_sketches(lines.where(F.col("l_orderkey") % 2 == i), columns) for i in range(2)]
+    found = sketches.estimated_quantiles(sketches.united_quantiles(*halves), [0.1, 0.5, 0.9])
+    cells = lines.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("x")) for c in columns])))
+    met = cells.join(F.broadcast(found), "column")  # six rows of estimates
+    shares = met.groupBy("column", "rank").agg(F.avg((F.col("x") < F.col("value")).cast("int")).alias("below"), F.avg((F.col("x") <= F.col("value")).cast("int")).alias("upto"))
+    return shares.select("column", "rank", ((F.col("below") <= F.col("rank") + 0.02) & (F.col("upto") >= F.col("rank") - 0.02)).alias("within"))

@@ -100,16 +100,26 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.unionAll(stars.select(F.col("root").alias("node"), "root").distinct())
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 3,
+                    similar: DataFrame | None = None) -> DataFrame:
     """(id, text_hash, fp, component) of every row; component is the smallest id reachable over links.
 
+    ``similar`` may give further links (a, b) between texts, by their ``text_hash``; as texts of one
+    fingerprint are linked already, each of them joins two fingerprints.
+
     An id of null is larger than any other; a component of such rows only has component null. Rows
     that repeat an id are rows of their own with the same answer where their texts agree. An empty
     table gives an empty result.
     """
     rows = pin(fingerprints(docs, id_column, text_column, width))
     classes = pin(rows.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("n_rows")))
-    roots = components(links(classes.select("fp")))
+    edges = links(classes.select("fp"))
+    if similar is not None:
+        names = rows.select("text_hash", "fp").distinct()
+        ends = similar.join(names.select(F.col("text_hash").alias("a"), F.col("fp").alias("fp_a")), "a")
+        ends = ends.join(names.select(F.col("text_hash").alias("b"), F.col("fp").alias("fp_b")), "b")
+        edges = edges.unionAll(ends.where("fp_a != fp_b").select("fp_a", "fp_b"))
+    roots = components(edges)
     grouped = classes.join(roots, classes["fp"] == roots["node"], "left").select(
         "fp", "first", "n_rows", F.coalesce("root", "fp").alias("root"))
     grouped = pin(grouped)
@@ -119,13 +129,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return attach_unique(rows, pin(named), ["fp"], "n_rows")
 
 
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 3) -> DataFrame:
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 3,
+                similar: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` with one row left of each group of near-duplicates: that of its smallest id.
 
+    ``similar`` is as in ``near_duplicates``.
+
     Rows that repeat both id and text count as one. Of rows without an id one stays for each group
     that has no row with an id (for each fingerprint where no row of the group has one).
     """
-    found = near_duplicates(docs, id_column, text_column, width)
+    found = near_duplicates(docs, id_column, text_column, width, similar)
     lead = found.where(F.col("id").eqNullSafe(F.col("component")))
     # ids can repeat: of the texts that share the leading id the one with the smallest hash stays
     nameless = F.when(F.col("id").isNull(), F.col("fp"))

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecart.llm import line_templates, mixing, packing, repetition, simhash
+from tidecart.llm import line_templates, mixing, near_copies, packing, repetition, simhash
 from tidecart.session import pin, shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -30,8 +30,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.one_of_each(docs)
+    """One document of each group: fingerprints within two bits, or shingles of five words alike to 0.8 or more."""
+    return simhash.one_of_each(docs, similar=near_copies.similar_links(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

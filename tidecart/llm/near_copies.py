@@ -10,6 +10,7 @@ rounds as its size has octal digits. Each link is verified on the whole sets of
 from __future__ import annotations
 
 import sys
+from itertools import islice
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
@@ -48,7 +49,7 @@ def sketch_of(text: str | None, multipliers, width: int = WIDTH):
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
     n = max(1, len(words) - width + 1)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(width)))) if len(words) >= width else [b" ".join(words)]
+    shingles = map(b" ".join, zip(*(islice(words, i, None) for i in range(width)))) if len(words) >= width else [b" ".join(words)]
     digest = xxhash.xxh64_intdigest
     hashes = np.unique(np.fromiter((digest(s, _SEED) for s in shingles), np.uint64, n))
     least = np.full(len(multipliers), np.iinfo(np.uint64).max, np.uint64)

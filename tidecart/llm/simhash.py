@@ -11,6 +11,8 @@ verified by their complete distance. Copies have one fingerprint and are one cla
 from __future__ import annotations
 
 import sys
+from itertools import islice
+
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +37,7 @@ def fingerprint_of(text: str | None, width: int) -> int:
     if not words:
         return 0
     n = max(1, len(words) - width + 1)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(width)))) if len(words) >= width else [b" ".join(words)]
+    shingles = map(b" ".join, zip(*(islice(words, i, None) for i in range(width)))) if len(words) >= width else [b" ".join(words)]
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(s, 42) for s in shingles), np.uint64, n)
     counts = np.zeros(64, np.int64)
@@ -58,7 +60,8 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     source = docs.select(column(id_column).cast("long").alias("id"), F.xxhash64(column(text_column)).alias("text_hash"),
                          column(text_column).cast("string").alias("text"))
-    return appended(source, [F.col("text")], lambda texts: [[fingerprint_of(t, width) for t in texts]], "fp long", ["id", "text_hash"])
+    return appended(source, [F.col("text")], lambda texts: [[fingerprint_of(t, width) for t in texts]], "fp long", ["id", "text_hash"],
+                    batch_bytes=4e6)
 
 
 def ball(fp: str) -> F.Column:

@@ -62,17 +62,20 @@ def test_fingerprints_and_components_match_brute_force(spark):
     assert {i: r.component for i, r in got.items()} == brute_components(fps)
 
 
-def test_links_join_all_pairs_within_two_bits(spark):
+@pytest.mark.parametrize("crowded", [0, 3, 64])
+def test_links_join_all_pairs_within_two_bits(spark, crowded):
     rng = random.Random(1)
     fps = {0, 1, (1 << 63), (1 << 63) | 1}
     for _ in range(30):
         f = rng.getrandbits(64)
         for _ in range(12):
             fps.add(f)
+            if rng.random() < 0.3:
+                fps.add(f & 0xFFFFFFFF | rng.getrandbits(32) << 32)  # a crowded bucket of unlike fingerprints
             for _ in range(rng.choice([1, 2, 2, 3])):
                 f ^= 1 << rng.randrange(64)
     fps = sorted(signed(f) for f in fps)
-    edges = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"))
+    edges = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), crowded)
     assert all(bin((r.a ^ r.b) & (2 ** 64 - 1)).count("1") <= 2 for r in edges.collect())
     got = {r.node: r.root for r in simhash.components(edges).collect()}
     want = brute_components({f: f & (2 ** 64 - 1) for f in fps})

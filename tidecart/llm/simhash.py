@@ -1,11 +1,15 @@
 """Near-duplicate documents by SimHash fingerprints and multi-index hashing.
 
-A fingerprint has 64 bits in two segments of 32. Two fingerprints that differ in at most two bits
-have a word between them that is at most one bit away from each. So each distinct fingerprint
-enumerates the Hamming balls of radius one within either segment (the other segment as it is: 65
-words in all) and looks the words up in one table. A word is met by 65 fingerprints at most, however
-large the groups of copies are: no bucket can be hot, no pairs are made, and all that meet are
-verified by their complete distance. Copies have one fingerprint and are one class throughout.
+A fingerprint has 64 bits in two segments of 32. Of two fingerprints that differ in at most two bits one
+segment at least differs in at most one. So each distinct fingerprint stands in a table for either
+segment, keyed by the segment, and asks for the 33 words of the small Hamming ball around either of
+its own; what meets is verified by its complete distance.
+
+A bucket of more than ``CROWDED`` fingerprints, and the buckets one bit beside it, are divided exactly by
+the other segment instead: fingerprints that ask for such a bucket are looked up by all 64 bits. Two that
+differ in at most two bits have a word between them that is at most one bit away from each; 65
+fingerprints at most meet at such a word, and no pairs are made. Copies have one fingerprint and are
+one class throughout.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from tidecart.session import pin
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEGMENTS, SEGMENT_BITS, RADIUS = 2, 32, 2
+CROWDED = 64              # fingerprints in a bucket of a segment's table, beyond which it is divided by the other segment
 BROADCAST_BYTES = 16 * 1024 * 1024
 _BLOCK = 255 * 256  # hashes counted at a time: 255 bytes can be added without leaving a byte
 
@@ -64,19 +69,42 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                     batch_bytes=4e6)
 
 
-def ball(fp: str) -> F.Column:
-    """The fingerprint and all words one bit away from it, segment by segment."""
-    flips = [f"{fp}"] + [f"{fp} ^ shiftleft(1L, {s * SEGMENT_BITS + b})" for s in range(SEGMENTS) for b in range(SEGMENT_BITS)]
-    return F.expr(f"array({', '.join(flips)})")
+def places(fp: str) -> list[str]:
+    """SQL for the buckets of a fingerprint: each segment, with its number above it."""
+    mask, above = (1 << SEGMENT_BITS) - 1, 1 << SEGMENT_BITS
+    return [f"((shiftrightunsigned({fp}, {s * SEGMENT_BITS}) & {mask}L) + {s * above}L)" for s in range(SEGMENTS)]
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """(a, b) with a < b: links between distinct fingerprints ``fp`` whose components are those of all pairs within two bits."""
-    met = distinct.select("fp", F.explode(ball("fp")).alias("word"))
+def ball(words: list[str], bits: range) -> F.Column:
+    """Each word and all that differ from it in one of the bits."""
+    near = [x for w in words for x in (w, *(f"{w} ^ shiftleft(1L, {b})" for b in bits))]
+    return F.expr(f"array({', '.join(near)})")
+
+
+def crowd_links(distinct: DataFrame) -> DataFrame:
+    """(a, b) with a < b: links whose components are those of all pairs within two bits, by words of all 64 bits."""
+    met = distinct.select("fp", F.explode(ball(["fp"], range(SEGMENTS * SEGMENT_BITS))).alias("word"))
     w = Window.partitionBy("word").orderBy("fp")
     pairs = met.select(F.lag("fp").over(w).alias("a"), F.col("fp").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
-    return pairs.where(F.col("a").isNotNull() & near).distinct()
+    return pairs.where(F.col("a").isNotNull() & near)
+
+
+def links(distinct: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """(a, b) with a < b: links between distinct fingerprints ``fp`` whose components are those of all pairs within two bits."""
+    segment = range(SEGMENT_BITS)
+    table = distinct.select(F.col("fp").alias("b"), F.explode(F.array(*map(F.expr, places("fp")))).alias("place"))
+    asks = distinct.select(F.col("fp").alias("a"), F.explode(ball(places("fp"), segment)).alias("place"))
+    full = table.groupBy("place").count().where(F.col("count") > crowded)
+    full = pin(full.select(F.explode(ball(["place"], segment)).alias("place")).distinct())
+    divided = bool(full.limit(1).count())
+    if divided:
+        full = F.broadcast(full) if fits_broadcast(full, BROADCAST_BYTES) else full
+        crowd = asks.join(full, "place", "left_semi").select(F.col("a").alias("fp")).distinct()
+        asks = asks.join(full, "place", "left_anti")
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
+    found = asks.join(table, "place").where((F.col("a") < F.col("b")) & near).select("a", "b")
+    return (found.unionAll(crowd_links(crowd)) if divided else found).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

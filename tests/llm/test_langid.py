@@ -76,3 +76,45 @@ def test_bounded_sample_learns_from_each_language(spark):
     assert model.languages == sorted(PARTS)
     good = langid.predict(docs, model, ["lang"]).where("lang = lang_pred").count()
     assert good > 230
+
+
+def test_long_texts_are_labelled_as_in_exact_arithmetic():
+    rng = np.random.default_rng(3)
+    n, k, penalty = 600_000, 3, 8
+    whole = rng.integers(-30_000, -29_990, (n, k))  # near ties; sums reach two times ten to the tenth
+    path = langid.paths(whole.astype(np.float32), np.array([0]), np.array([n]), float(penalty))
+    best = [int(x) for x in whole[0]]
+    for row in whole[1:].tolist():
+        top = max(best) - penalty
+        best = [max(b, top) + x for b, x in zip(best, row)]
+    value = int(whole[np.arange(n), path].sum()) - penalty * int((path[1:] != path[:-1]).sum())
+    assert value == max(best)
+
+
+def test_only_letters_are_words(spark):
+    assert langid.words_of("ka½lo ² Ⅷ① mi_tu 5x 一二") == ["ka", "lo", "mi", "tu", "x", "一二"]
+    model = langid.fit(spark.createDataFrame([(1, "ka lo", "aa"), (2, "sche brin", "bb")], SCHEMA))
+    docs = spark.createDataFrame([(1, "½", None), (2, "² ⅷ ①", None), (3, "½ka ²", None)], SCHEMA)
+    got = {r.doc_id: r for r in langid.predict(docs, model, ["doc_id"], spans=True).collect()}
+    assert [got[i].lang_pred for i in (1, 2, 3)] == ["und", "und", "aa"]
+    assert [(s.start, s.end) for s in got[3].lang_spans] == [(1, 3)]
+
+
+def test_word_scores_and_scripts_match_brute_force(spark):
+    late = " ".join(["ka lo"] * 300 + ["мол ста"] * 300)  # the second script comes after 600 words
+    texts = [("aa", late), ("bb", "sche brin gulf"), ("ru", "мол ста кри")]
+    model = langid.fit(spark.createDataFrame([(i, t, g) for i, (g, t) in enumerate(texts)], SCHEMA))
+    number = {g: i for i, g in enumerate(model.languages)}
+    assert [model.scripts["Cyrillic"][number[g]] for g in ("aa", "bb", "ru")] == [True, False, True]
+    assert [model.scripts["Latin"][number[g]] for g in ("aa", "bb", "ru")] == [True, True, False]
+    counts = np.full((langid.BUCKETS, 3), 0.5)
+    for g, t in texts:
+        for w in t.split():
+            for b in langid.gram_buckets([w])[0]:
+                counts[b, number[g]] += 1
+    logs = np.log(counts / counts.sum(axis=0))
+    for w in ("ka", "brin", "мол"):
+        buckets = langid.gram_buckets([w])[0]
+        want = logs[buckets].mean(axis=0) * len(w) ** 0.5
+        want = [x if model.scripts[langid.script_of(w)][k] else x - 1e3 for k, x in enumerate(want)]
+        assert np.allclose(model.word_scores([w])[0], want, rtol=1e-5)

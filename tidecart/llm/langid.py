@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import sys
 import uuid
+from collections import Counter
 from itertools import chain
 
 from pyspark import cloudpickle
@@ -50,6 +51,18 @@ SCRIPTS = {
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _letters_only(text: str | None) -> str:
+    """The text with a blank for each sign that is no letter, if ``_WORD`` alone would take one (as numerals) for a letter."""
+    text = text or ""
+    return text if all(map(str.isalpha, _WORD.findall(text))) else "".join(c if c.isalpha() else " " for c in text)
+
+
+def words_of(text: str | None) -> list[str]:
+    """The words of a text: runs of letters."""
+    found = _WORD.findall(text or "")
+    return found if all(map(str.isalpha, found)) else _WORD.findall(_letters_only(text))
+
+
 def script_of(word: str) -> str:
     """The script of a word's first letter, or 'Other'."""
     c = ord(word[0])
@@ -112,6 +125,7 @@ def _counts(docs: DataFrame, languages: list[str], lang_column: str, text_column
     """(key, counts by language): n-gram buckets from 0, scripts after them."""
     number = {lang: i for i, lang in enumerate(languages)}
     names = [*SCRIPTS, "Other"]
+    place = {name: i for i, name in enumerate(names)}
 
     def run(batches):
         import numpy as np
@@ -121,12 +135,14 @@ def _counts(docs: DataFrame, languages: list[str], lang_column: str, text_column
         scripts = np.zeros((len(languages), len(names)), np.int64)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = _WORD.findall(text or "")
+                words = words_of(text)
                 for at in range(0, len(words), 100_000):
-                    part = words[at:at + 100_000]
-                    grams[number[lang]] += np.bincount(gram_buckets(part)[0], minlength=BUCKETS)
-                    for w in part[:200]:
-                        scripts[number[lang], names.index(script_of(w))] += len(w)
+                    times = Counter(words[at:at + 100_000])
+                    gram, owner = gram_buckets(list(times))
+                    weight = np.fromiter(times.values(), np.int64, len(times))
+                    grams[number[lang]] += np.bincount(gram, weight[owner], BUCKETS).astype(np.int64)
+                    for w, n in times.items():
+                        scripts[number[lang], place[script_of(w)]] += len(w) * n
         both = np.concatenate([grams, scripts], axis=1)
         for i, lang in enumerate(languages):
             at = np.flatnonzero(both[i])
@@ -171,7 +187,8 @@ def paths(scores, starts, lengths, penalty: float):
     """The best language of each word; ``scores`` are those of all texts one after the other.
 
     All texts of a batch take their steps together, longest first, so a step costs one operation on
-    those that are still running.
+    those that are still running. Sums are in double precision and relative to the best language of
+    the step before, so they don't grow with the length of a text.
     """
     import numpy as np
 
@@ -179,22 +196,22 @@ def paths(scores, starts, lengths, penalty: float):
     first, length = starts[order], lengths[order]
     steps = int(length[0]) if len(length) else 0
     running = np.searchsorted(-length, -np.arange(1, steps + 1), side="right")
-    total = scores.copy()
+    total = scores[first[:running[0] if steps else 0]].astype(np.float64)  # of the texts, at the step reached
     back = np.zeros(scores.shape, bool)
     top = np.zeros(len(scores), np.int32)
     for t in range(1, steps):
         now = first[:running[t]] + t
-        before = total[now - 1]
+        before = total[:running[t]]
         best = before.argmax(axis=1)
-        jump = np.take_along_axis(before, best[:, None], 1) - penalty
-        stays = before >= jump
-        total[now] += np.where(stays, before, jump)
+        before = before - np.take_along_axis(before, best[:, None], 1)
+        stays = before >= -penalty
+        total[:running[t]] = scores[now] + np.where(stays, before, -penalty)
         back[now], top[now] = stays, best
     path = np.zeros(len(scores), np.int32)
     for t in range(steps - 1, -1, -1):
         now = first[:running[t]] + t
         ends = length[:running[t]] == t + 1
-        here = np.where(ends, total[now].argmax(axis=1), 0)
+        here = np.where(ends, total[:running[t]].argmax(axis=1), 0)
         going = now[~ends]
         after = path[going + 1]
         here[~ends] = np.where(back[going + 1, after], after, top[going + 1])
@@ -226,10 +243,10 @@ def label(model: Model, texts: list[str | None], penalty: float, score, spans: b
     import numpy as np
 
     if spans:
-        matches = [list(_WORD.finditer(t or "")) for t in texts]
+        matches = [list(_WORD.finditer(_letters_only(t))) for t in texts]
         words = [[m.group() for m in found] for found in matches]
     else:
-        words = [_WORD.findall(t or "") for t in texts]
+        words = [words_of(t) for t in texts]
     lengths = np.array([len(w) for w in words], np.int64)
     starts = np.cumsum(lengths) - lengths
     flat = [w for found in words for w in found]

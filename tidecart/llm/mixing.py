@@ -65,12 +65,13 @@ def copies(key: Column, parts: Column, function: Column, seed: str) -> Column:
     return F.aggregate(F.sequence(F.lit(1), parts), F.lit(0), lambda acc, i: acc + draw(i))
 
 
-def mix(docs: DataFrame, rates: DataFrame, id_column: str = "doc_id", source_column: str = "source", seed: str = SEED) -> DataFrame:
+def mix(docs: DataFrame, rates: DataFrame, id_column: str = "doc_id", source_column: str = "source", seed: str = SEED,
+        text_column: str = "text") -> DataFrame:
     """``docs`` repeated by their sources' rates and shuffled: its columns, copy (from 0) and shuffle_key.
 
     Rows are dealt to partitions and sorted there by ``shuffle_key``, which is also a global order.
-    Rows that repeat an id are drawn together; a null id draws as the text 'null'. An empty table gives
-    an empty result. Columns of ``docs`` named copy or shuffle_key are replaced.
+    Rows that repeat an id are drawn together; a row without an id draws by the md5 of its text (null as
+    empty), so such rows are drawn together only where they are copies. An empty table gives an empty result. Columns of ``docs`` named copy or shuffle_key are replaced.
     """
     # the distribution function is worked out once per source, not per document
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / LARGEST_MEAN)).cast("int")
@@ -84,7 +85,7 @@ def mix(docs: DataFrame, rates: DataFrame, id_column: str = "doc_id", source_col
         joined = own.join(right, own["__source"].eqNullSafe(F.col("__named")), "left")
     else:
         joined = attach_unique(own, rates, ["__source"], "__n")
-    key = F.coalesce(column(id_column).cast("string"), F.lit("null"))
+    key = F.coalesce(column(id_column).cast("string"), F.concat(F.lit("null/"), F.md5(F.coalesce(column(text_column).cast("string"), F.lit("")))))
     drawn = joined.withColumn("__copies", copies(key, F.col("__parts"), F.col("__cdf"), seed)).where("__copies > 0")
     repeated = drawn.select(*[column(c) for c in names], F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)).alias("copy"))
     place = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}/"), key, F.lit("#"), F.col("copy").cast("string"))), 1, 15), 16, 10)

@@ -108,6 +108,37 @@ def test_knn_hot_vector(spark, max_bytes):
     np.testing.assert_allclose(got, brute_knn(base.to_numpy(), 5))
 
 
+def test_knn_meets_few_donors_in_the_columns_both_have(spark):
+    """Donors at one point of the shared columns are equally far: the work must not grow with their number."""
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"a": rng.normal(size=1500), "m": rng.integers(0, 4, 1500).astype(float)})
+    pdf.loc[:20, "a"] = np.nan
+    df = to_spark(spark, pdf)
+    model = KnnImputer(["a", "m"], targets=["a"], block_rows=16).fit(df)
+    np.testing.assert_allclose(back(model.transform(df), ["a", "m"]), brute_knn(pdf.to_numpy(), 5), rtol=1e-9)
+    boxes = model.index.boxes
+    assert sum(boxes["vectors"]) <= 4 * 5
+    receivers = df.where("a is null").groupBy("a", "m").agg(F.count(F.lit(1)).alias("__w"))
+    looked_at = model._candidates(receivers, 4, "home", model.index)
+    assert looked_at.where(F.col("a").isNotNull()).count() == 0 and looked_at.count() <= 4 * 5
+
+
+@pytest.mark.parametrize("max_views", [8, 1])
+def test_knn_views_of_patterns_that_fit_has_not_seen(spark, monkeypatch, max_views):
+    monkeypatch.setattr("tidecart.operators.knn._MAX_VIEWS", max_views)
+    rng = np.random.default_rng(7)
+    old = pd.DataFrame(rng.integers(0, 9, size=(300, 3)).astype(float), columns=list("abc"))
+    old.loc[:30, "a"] = np.nan
+    old.loc[20:50, "b"] = np.nan
+    model = KnnImputer(list("abc"), targets=["a"], block_rows=16).fit(to_spark(spark, old))
+    new = pd.DataFrame({"a": np.nan, "b": [np.nan, 2.0, 3.0], "c": [4.0, np.nan, 1.0]})
+    got = back(model.transform(to_spark(spark, new)), ["a"]).ravel()
+    for i in range(3):
+        both = pd.concat([old, new.iloc[[i]]]).to_numpy()
+        donors = np.vstack([both[:-1][~np.isnan(both[:-1, 0])], both[-1:]])
+        assert got[i] == pytest.approx(brute_knn(donors, 5)[-1, 0])
+
+
 def brute_chained(x, rounds=10, share=1e-3):
     """Sequential regressions on the filled table itself."""
     def ridge(a, y):

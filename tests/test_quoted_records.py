@@ -92,3 +92,15 @@ def test_header_only_and_encodings(spark, tmp_path, splits_of):
     two.write_bytes(b'\n\na,b\n"\x80 20\n\xe9",x\n' * 1 + b'"y\n",z\n')
     assert csv_files.read_csv(spark, str(one), multi_line=True).count() == 0
     assert rows_of(csv_files.read_csv_files(spark, [str(two)])) == [("y\n", "z"), ("€ 20\né", "x")]
+
+
+def test_query_over_splits_writes_more_files_for_a_larger_table(spark, tmp_path, monkeypatch):
+    """One task must not write the whole table, however large it is."""
+    from tidecart import battery
+
+    monkeypatch.setattr(battery, "LARGE_FILE_BYTES", 50_000)
+    rows = [(i, f'first "{i}"\nsecond, {"x" * 500}', 500) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    back = battery.QUERIES["csv_quoted_newlines_in_splits"][0](spark, str(tmp_path))
+    assert sorted(tuple(r) for r in back.collect()) == rows
+    assert len(back.inputFiles()) > 1

@@ -146,13 +146,17 @@ def csv_quoted_newlines(spark, sf):
     return csv_files.read_csv_files(spark, csv_files.csv_files(spark, out)).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
+LARGE_FILE_BYTES = 256 * 1024 * 1024  # of text in a file that is read in splits
+
+
 @query("csv_quoted_newlines_in_splits", """
     SELECT doc_id, text, n_chars FROM documents""")
 def csv_quoted_newlines_in_splits(spark, sf):
-    """One large file, of which every split cuts its own records."""
+    """Large files, of which every split cuts its own records. A task writes one, whatever the size of the table."""
     out = scratch(spark)
     docs = table(spark, sf, "documents").select("doc_id", "text", "n_chars")
-    docs.coalesce(1).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    docs.coalesce(n_bytes // LARGE_FILE_BYTES + 1).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False).csv(out)
     back = csv_files.read_csv(spark, csv_files.csv_files(spark, out), multi_line=True)
     return back.select(F.col("doc_id").cast("bigint"), "text", F.col("n_chars").cast("bigint"))

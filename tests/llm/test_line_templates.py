@@ -1,4 +1,7 @@
 import random
+import re
+
+from pyspark.sql import functions as F
 
 from tidecart.llm import line_templates as lines
 
@@ -113,3 +116,18 @@ def test_all_templates_of_the_rule_are_found(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {(r.id, r.line_no) for r in lines.boilerplate(docs).collect()}
     assert got == by_hand(texts) and len(got) > 100
+
+
+def test_blanks_and_digits_in_tokens(spark):
+    texts = ["a b1 c", " a  b ", "", "   ", "1", "x12y  z\t7 é9é 日本5 😀 😀5 a😀", "-1 --", "<*> 2", "a\u00a0 1"]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, line string")
+    plain = lines.single_blanks(F.col("line"))
+    got = [tuple(r) for r in rows.select(plain, lines.masked(plain)).orderBy("i").collect()]
+    tokens = [[t for t in x.split(" ") if t] for x in texts]
+    assert got == [(" ".join(t), " ".join("<*>" if re.search("[0-9]", x) else x for x in t)) for t in tokens]
+
+
+def test_no_text_is_cut_within_a_lambda(spark):
+    docs = spark.createDataFrame([(i, f"one two three four five six seven\nown {i}") for i in range(4)], "doc_id long, text string")
+    plan = lines.without_boilerplate(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" in plan and not re.search(r"lambdafunction\([^\n]*split\(", plan)

@@ -28,20 +28,25 @@ BROADCAST_BYTES = 16 * 1024 * 1024
 VARIABLE = "<*>"
 
 
-def tokens(line: Column) -> Column:
-    """What blanks divide, with tokens that hold a digit made variable."""
-    plain = F.filter(F.split(line, " "), lambda t: t != "")
-    masked = F.transform(plain, lambda t: F.when(t.rlike("[0-9]"), VARIABLE).otherwise(t))
-    return F.when(line.rlike("[0-9]"), masked).otherwise(plain)
+def single_blanks(line: Column) -> Column:
+    """The tokens of a line, which blanks divide, with one blank between them. As most lines are so already, no token is cut out."""
+    odd = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    return F.when(odd, F.regexp_replace(F.trim(line), " +", " ")).otherwise(line)
+
+
+def masked(plain: Column) -> Column:
+    """Tokens with one blank between them, those that hold a digit made variable."""
+    # possessive, from the start of a token on: each character is looked at once
+    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", VARIABLE)).otherwise(plain)
 
 
 def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, h, line_no, n, masked, leaf, tokens) of every line of ``MIN_TOKENS`` tokens; (id, h) names a document."""
+    """(id, h, line_no, n, leaf, plain) of every line, those of fewer than ``MIN_TOKENS`` tokens too; (id, h) names a document."""
     source = docs.select(column(id_column).alias("id"), F.xxhash64(column(text_column)).alias("h"), column(text_column).alias("text"))
     lines = source.select("id", "h", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    cut = lines.select("id", "h", "line_no", tokens(F.col("line")).alias("tokens")).where(F.size("tokens") >= MIN_TOKENS)
-    named = cut.select("id", "h", "line_no", "tokens", F.size("tokens").alias("n"), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"))
-    return named.select("id", "h", "line_no", "n", F.array_join("tokens", " ").alias("masked"), "leaf", "tokens")
+    cut = lines.select("id", "h", "line_no", single_blanks(F.col("line")).alias("plain"))
+    n = F.octet_length("plain") - F.octet_length(F.replace("plain", F.lit(" "), F.lit(""))) + 1
+    return cut.withColumn("n", n).select("id", "h", "line_no", "n", F.xxhash64("n", masked(F.substring_index("plain", " ", DEPTH))).alias("leaf"), "plain")
 
 
 def blocks() -> Column:
@@ -69,12 +74,17 @@ def candidates(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     out before, where the others are measured to fit a broadcast.
     """
     rows = _rows(docs, id_column, text_column)
-    shared = pin(rows.groupBy("leaf").agg(F.count("*").alias("n_lines")).where(F.col("n_lines") >= MIN_DOCS).select("leaf"))
-    met = rows.join(F.broadcast(shared), "leaf", "left_semi") if fits_broadcast(shared, BROADCAST_BYTES) else rows
-    counts = met.select("leaf", F.explode(blocks()).alias("block")).groupBy("block").agg(F.count("*").alias("n_lines"), F.first("leaf").alias("leaf"))
+    # a leaf's lines have one number of tokens; asked after the aggregate and by the joins, it's worked out once a line
+    shared = rows.groupBy("leaf").agg(F.count("*").alias("n_lines"), F.first("n").alias("n"))
+    shared = pin(shared.where((F.col("n_lines") >= MIN_DOCS) & (F.col("n") >= MIN_TOKENS)).select("leaf"))
+    small = fits_broadcast(shared, BROADCAST_BYTES)
+    met = rows.join(F.broadcast(shared), "leaf", "left_semi") if small else rows.where(F.col("n") >= MIN_TOKENS)
+    cut = met.select("leaf", "n", F.split(masked(F.col("plain")), " ").alias("tokens"))
+    counts = cut.select("leaf", F.explode(blocks()).alias("block")).groupBy("block").agg(F.count("*").alias("n_lines"), F.first("leaf").alias("leaf"))
     leaves = pin(counts.where(F.col("n_lines") >= MIN_DOCS).select("leaf").distinct())
     right = F.broadcast(leaves) if fits_broadcast(leaves, BROADCAST_BYTES) else leaves
-    return rows.drop("tokens").join(right, "leaf", "left_semi")
+    met = rows.join(right, "leaf", "left_semi")
+    return met.select("id", "h", "line_no", "n", masked(F.col("plain")).alias("masked"), "leaf")
 
 
 def boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -133,13 +143,14 @@ def without_boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column:
     mark = fresh(own, "__text_hash")
     marked = own.withColumn(mark, F.xxhash64(column(text_column)))
     joined = marked.join(drops, column(id_column).eqNullSafe(F.col("__id")) & (F.col(mark) == F.col("__h")), "left")
-    lines = F.split(column(text_column), "\n")
+    lines = fresh(joined, "__lines")
+    cut = joined.withColumn(lines, F.split(column(text_column), "\n"))  # a column: within the lambda the text would be cut for each line
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__drops"))
     text = F.when(F.col("__drops").isNull(), column(text_column)).otherwise(
-        F.array_join(F.transform(left, lambda i: F.element_at(lines, i + 1)), "\n"))
+        F.array_join(F.transform(left, lambda i: F.element_at(F.col(lines), i + 1)), "\n"))
     n_lines = F.when(column(text_column).isNull(), 0).otherwise(F.size(lines))
-    return joined.select(*[text.alias(c) if c == text_column else column(c) for c in own.columns], n_lines.alias("n_lines"),
-                         F.coalesce(F.size("__drops"), F.lit(0)).alias("n_dropped"))
+    return cut.select(*[text.alias(c) if c == text_column else column(c) for c in own.columns], n_lines.alias("n_lines"),
+                      F.coalesce(F.size("__drops"), F.lit(0)).alias("n_dropped"))
 
 
 def line_dedup(spark, folder: str) -> DataFrame:

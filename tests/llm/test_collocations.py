@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidecart.llm import collocations as col
 
@@ -60,3 +61,27 @@ def test_phrases_match_brute_force(spark, shard_words, bits):
 
 def test_empty_table(spark):
     assert col.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
+
+
+def test_texts_are_divided_into_words_once(spark):
+    met = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        met.add(1)
+        return text
+
+    table = spark.createDataFrame([("en", "a b c d. a b c")] * 60, "lang string, text string").withColumn("text", seen("text"))
+    got = {r.phrase: r.a for r in col.collocations(table, support=5, shard_words=50).collect()}
+    assert got == {"a b c": 120, "a b c d": 60} and met.value == 60
+
+
+def test_a_shard_is_read_as_it_was_written():
+    writer = col.Writer()
+    writer.add("en", "New york. new".encode())
+    writer.add("de", "new É".encode())
+    shard = col.Shard(*writer.row())
+    named = [(shard.langs[i], w.decode()) for i, w in zip(shard.of, shard.words)]
+    assert [named[n] if n else "." for n in shard.numbers] == [
+        ("en", "new"), ("en", "york"), ".", ("en", "new"), ".", ("de", "new"), ("de", "É"), "."]
+    assert len(set(shard.hashes()[shard.numbers[shard.numbers > 0]].tolist())) == 4

@@ -2,7 +2,8 @@
 
 A shard is as many documents as a task holds at a time. A phrase with a global count of at least the
 support has, in one shard at least, its share of it: the support times the shard's part of the
-language's words, rounded up. So each shard is mined completely at that lowered support, level by level
+language's words, rounded up. Texts are divided into words once; shards are kept as word numbers and read
+by every pass. So each shard is mined completely at that lowered support, level by level
 (pairs, then longer phrases whose pairs are frequent), and the union of what shards find is counted
 exactly over all documents. Where there are as many shards as the support or more, the lowered support is
 one and the shards' counts add up; the union is then cut to the phrases whose sum reaches the support. Candidates travel to the counting tasks as a bit table of fixed size, by hash: phrases
@@ -13,6 +14,7 @@ hashes and no task holds a table that grows with the corpus.
 from __future__ import annotations
 
 import sys
+import zlib
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidecart.llm._common import column
 from tidecart.operators.attach import fits_broadcast
-from tidecart.session import pin
+from tidecart.session import pin, small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -41,25 +43,30 @@ _TABLE = bytes(0xFF if b in ENDS else 0x20 if b in BLANKS else b for b in range(
 _TABLE = bytes(_TABLE[b + 32] if 65 <= b <= 90 else _TABLE[b] for b in range(256))
 
 
+SHARD = "langs array<string>, words binary, of binary, numbers binary"
+
+
 class Known(dict):
     """Numbers of a language's words, given when a word is first met."""
 
-    def __init__(self, lang: str, named: list) -> None:
+    def __init__(self, code: int, words: list, of: list) -> None:
         super().__init__({b"\xff": 0})
-        self.lang, self.named = lang, named
+        self.code, self.words, self.of = code, words, of
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self.named)
-        self.named.append((self.lang, word))
+        self[word] = number = len(self.words)
+        self.words.append(word)
+        self.of.append(self.code)
         return number
 
 
-class Shard:
+class Writer:
     """The words of some documents, one after the other, as numbers of (language, word); number 0 ends a piece."""
 
     def __init__(self) -> None:
         self.langs: dict[str, Known] = {}
-        self.named: list[tuple[str, bytes]] = [("", b"")]
+        self.words: list[bytes] = [b""]
+        self.of: list[int] = [0]
         self.parts: list = []
         self.n = 0
 
@@ -67,7 +74,7 @@ class Shard:
         import numpy as np
 
         if lang not in self.langs:
-            self.langs[lang] = Known(lang, self.named)
+            self.langs[lang] = Known(len(self.langs), self.words, self.of)
         number = self.langs[lang].__getitem__
         plain = text.translate(_TABLE)
         at = 0
@@ -80,10 +87,23 @@ class Shard:
             at = end
         self.parts.append(np.zeros(1, np.int32))
 
-    def numbers(self):
+    def row(self) -> tuple:
+        """The fields of ``SHARD``, compressed: the executor holds them outside Python, too."""
         import numpy as np
 
-        return np.concatenate(self.parts)
+        planes = np.concatenate(self.parts).astype("<i4").view(np.uint8).reshape(-1, 4).T  # bytes of equal weight together
+        packed = [zlib.compress(x, 1) for x in (b" ".join(self.words), np.array(self.of, "<i4").tobytes(), planes.tobytes())]
+        return list(self.langs), *packed
+
+
+class Shard:
+    """A shard as it was written: languages, words, the language of each word, the words of the texts by number."""
+
+    def __init__(self, langs: list[str], words: bytes, of: bytes, numbers: bytes) -> None:
+        import numpy as np
+
+        self.langs, self.words, self.of = langs, zlib.decompress(words).split(b" "), np.frombuffer(zlib.decompress(of), "<i4")
+        self.numbers = np.frombuffer(zlib.decompress(numbers), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
 
     def hashes(self):
         """A 64-bit hash of each (language, word), the same in all shards."""
@@ -91,19 +111,16 @@ class Shard:
         import xxhash
 
         digest = xxhash.xxh64_intdigest
-        seeds = {"": 0} | {lang: digest(lang.encode()) for lang in self.langs}
-        return np.fromiter((digest(w, seeds[lang]) for lang, w in self.named), np.uint64, len(self.named))
+        seeds = [digest(lang.encode()) for lang in self.langs]
+        return np.fromiter(map(digest, self.words, map(seeds.__getitem__, self.of.tolist())), np.uint64, len(self.words))
 
     def support(self, totals: dict[str, int], support: int):
         """For each number the lowered support of its language in this shard."""
         import numpy as np
 
-        codes = {lang: i for i, lang in enumerate(self.langs)}
-        of = np.array([codes.get(lang, 0) for lang, _ in self.named])
-        numbers = self.numbers()
-        words = np.bincount(of[numbers], weights=numbers > 0, minlength=len(codes)).astype(np.int64)
-        least = np.array([-(-support * int(words[i]) // max(1, totals.get(lang, 1))) for lang, i in codes.items()] or [1])
-        return np.maximum(1, least)[of]
+        words = np.bincount(self.of[self.numbers], weights=self.numbers > 0, minlength=len(self.langs)).astype(np.int64)
+        least = np.array([-(-support * int(words[i]) // max(1, totals.get(lang, 1))) for i, lang in enumerate(self.langs)])
+        return np.maximum(1, least)[self.of]
 
 
 def mixed(hashes, length: int, at):
@@ -150,77 +167,113 @@ def classes(numbers, at, length: int):
     return of, at[first], counts
 
 
-def over_shards(docs: DataFrame, lang_column: str, text_column: str, work, fields: str, shard_words: int) -> DataFrame:
-    """Rows that ``work`` makes of each shard of ``docs``: it gets a Shard and returns one sequence per field."""
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import StructType
-
-    kinds = [(f.name, to_arrow_type(f.dataType)) for f in StructType.fromDDL(fields).fields]
+def sharded(docs: DataFrame, lang_column: str, text_column: str, shard_words: int) -> DataFrame:
+    """The shards of ``docs``, a row each: as many documents as reach ``shard_words`` words."""
 
     def run(batches):
         import pyarrow as pa
 
         def rows(shard):
-            made = work(shard)
-            return pa.RecordBatch.from_arrays([pa.array(v, type=t) for v, (_, t) in zip(made, kinds)], names=[n for n, _ in kinds])
+            return pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip(shard.row(), kinds)], names=names)
 
-        shard = Shard()
+        shard = Writer()
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):  # a document at a time
                 shard.add(lang.as_py(), text.as_py())
                 if shard.n >= shard_words:
                     yield rows(shard)
-                    shard = Shard()
+                    shard = Writer()
         if shard.parts:
             yield rows(shard)
 
+    names, kinds = arrow_fields(SHARD)
     source = docs.select(F.coalesce(column(lang_column).cast("string"), F.lit("und")).alias("lang"),
                          F.coalesce(column(text_column).cast("string"), F.lit("")).cast("binary").alias("t"))
-    return source.mapInArrow(run, fields)
+    return source.mapInArrow(run, SHARD)
+
+
+def arrow_fields(fields: str) -> tuple[list[str], list]:
+    """Names and Arrow types of the fields."""
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import StructType
+
+    found = StructType.fromDDL(fields).fields
+    return [f.name for f in found], [to_arrow_type(f.dataType) for f in found]
+
+
+def over_shards(shards: DataFrame, work, fields: str) -> DataFrame:
+    """Rows that ``work`` makes of each of the ``shards``: it gets a Shard and returns one sequence per field."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for values in zip(*batch.columns):  # a shard at a time
+                made = work(Shard(*(v.as_py() for v in values)))
+                yield pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, type=t) for v, t in zip(made, kinds)], names=names)
 
+    names, kinds = arrow_fields(fields)
+    return shards.mapInArrow(run, fields)
 
-def spelled(shard: Shard, numbers, first, length: int) -> list[str]:
-    words = [w for _, w in shard.named]
-    return [b" ".join(words[n] for n in numbers[f:f + length]).decode("utf-8", "replace") for f in first.tolist()]
 
+def spelled(shard: Shard, first, length: int) -> list[str]:
+    words, numbers = shard.words, shard.numbers
+    return [b" ".join([words[n] for n in numbers[f:f + length].tolist()]).decode("utf-8", "replace") for f in first.tolist()]
 
-def word_counts(docs: DataFrame, lang_column: str, text_column: str, shard_words: int) -> DataFrame:
+
+def word_counts(shards: DataFrame) -> DataFrame:
     """(lang, phrase, f) of every word."""
 
     def work(shard):
         import numpy as np
 
-        counts = np.bincount(shard.numbers(), minlength=len(shard.named))[1:]
-        named = shard.named[1:]
-        return [lang for lang, _ in named], [w.decode("utf-8", "replace") for _, w in named], counts
+        counts = np.bincount(shard.numbers, minlength=len(shard.words))[1:]
+        return [shard.langs[i] for i in shard.of[1:].tolist()], [w.decode("utf-8", "replace") for w in shard.words[1:]], counts
 
-    found = over_shards(docs, lang_column, text_column, work, "lang string, phrase string, f long", shard_words)
+    found = over_shards(shards, work, "lang string, phrase string, f long")
     return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
-def mined(docs: DataFrame, lang_column: str, text_column: str, lengths: list[int], table, totals: dict[str, int], support: int, shard_words: int) -> DataFrame:
-    """(key) of the phrases that some shard finds frequent and that can reach the support.
+def phrase_hashes(part, at, length: int, table):
+    """(places, hashes) of the phrases from ``at`` on that consist of parts of ``table``.
 
-    ``table`` has the parts that a phrase may consist of. Where the corpus has as many shards as the
-    support or more, a shard's share of the support is one: what shards report are then all occurrences,
-    and their sum is exact. With fewer shards each reports by its own share, and all that is reported stays.
+    Pairs consist of frequent words, longer phrases of frequent pairs.
+    """
+    small = 1 if length == 2 else 2
+    for k in range(length - small + 1):
+        at = at[set_bits(table, mixed(part, small, at + k))]
+    return at, mixed(part, length, at)
+
+
+def passed(shards: DataFrame, counted: list[int], mined: list[int], table, totals: dict[str, int], support: int, shard_words: int) -> DataFrame:
+    """One pass: (lang, phrase, f) of counted phrases that reach the support, and (key) of mined ones that can, other columns null.
+
+    Phrases of the lengths ``counted`` are counted exactly where ``table`` holds them. Of the lengths ``mined`` the
+    keys are those of phrases that some shard finds frequent; ``table`` has the parts that they may consist of.
+    Where the corpus has as many shards as the support or more, a shard's share of the support is one: what
+    shards report are then all occurrences, and their sum is exact. With fewer shards each reports by its own
+    share, and all that is reported stays.
     """
     complete = sum(totals.values()) >= support * shard_words
     unsure = 0 if complete else 1 << 40  # added to a count that is no sum over all shards
 
     def work(shard):
         import numpy as np
+        import pyarrow as pa
 
-        numbers = shard.numbers()
+        numbers = shard.numbers
         part = shard.hashes()[numbers]
-        least = None if complete else shard.support(totals, support)
-        keys, found = [], []
-        for length in lengths:
+        least = None if complete or not mined else shard.support(totals, support)
+        langs, phrases, keys, found = [], [], [], []
+        for length in counted:
             at = places(numbers, length)
-            small = 1 if length == 2 else 2  # pairs consist of frequent words, longer phrases of frequent pairs
-            for k in range(length - small + 1):
-                at = at[set_bits(table, mixed(part, small, at + k))]
-            hashed = mixed(part, length, at)
+            at = at[set_bits(table, mixed(part, length, at))]
+            _, first, counts = classes(numbers, at, length)
+            langs += [shard.langs[i] for i in shard.of[numbers[first]].tolist()]
+            phrases += spelled(shard, first, length)
+            found.append(counts)
+        for length in mined:
+            at, hashed = phrase_hashes(part, places(numbers, length), length, table)
             if complete:
                 key, counts = np.unique(hashed, return_counts=True)
             else:
@@ -229,10 +282,15 @@ def mined(docs: DataFrame, lang_column: str, text_column: str, lengths: list[int
                 key, counts = key[often], counts[often]
             keys.append(key.view(np.int64))
             found.append(counts + unsure)
-        return [np.concatenate(keys), np.concatenate(found)]
+        n = sum(map(len, keys))
+        blank = pa.nulls(n, pa.string())
+        return [pa.concat_arrays([pa.array(langs, pa.string()), blank]), pa.concat_arrays([pa.array(phrases, pa.string()), blank]),
+                pa.concat_arrays([pa.nulls(len(phrases), pa.int64()), *map(pa.array, keys)]), np.concatenate(found)]
 
-    found = over_shards(docs, lang_column, text_column, work, "key long, n long", shard_words)
-    return found.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= support).select("key")
+    found = over_shards(shards, work, "lang string, phrase string, key long, f long")
+    if not counted:  # a key alone is the narrower row
+        return found.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
+    return found.groupBy("lang", "phrase", "key").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
 
 
 def bit_table(keys: DataFrame, bits: int):
@@ -247,43 +305,25 @@ def bit_table(keys: DataFrame, bits: int):
     return table.astype("<i8").view(np.uint8)
 
 
-def counted(docs: DataFrame, lang_column: str, text_column: str, lengths: list[int], table, support: int, shard_words: int) -> DataFrame:
-    """(lang, phrase, f) of the candidates of ``table`` that reach the support, by their exact counts."""
-
-    def work(shard):
-        import numpy as np
-
-        numbers, hashes = shard.numbers(), shard.hashes()
-        part = hashes[numbers]
-        out: list = [[], [], []]
-        for length in lengths:
-            at = places(numbers, length)
-            at = at[set_bits(table, mixed(part, length, at))]
-            _, first, counts = classes(numbers, at, length)
-            out[0] += [shard.named[n][0] for n in numbers[first].tolist()]
-            out[1] += spelled(shard, numbers, first, length)
-            out[2].append(counts)
-        return [out[0], out[1], np.concatenate(out[2])]
-
-    found = over_shards(docs, lang_column, text_column, work, "lang string, phrase string, f long", shard_words)
-    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
-
-
 def frequent(docs: DataFrame, lang_column: str = "lang", text_column: str = "text", support: int = SUPPORT, longest: int = LONGEST,
              shard_words: int = SHARD_WORDS, table_bits: int = TABLE_BITS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, f, length) of all phrases of one to ``longest`` words that reach the support; (lang, n) with all words counted."""
-    own = (docs, lang_column, text_column)
-    words = pin(word_counts(*own, shard_words))
+    shards = pin(sharded(docs, lang_column, text_column, shard_words))
+    words = pin(word_counts(shards))
     sizes = pin(words.groupBy("lang").agg(F.sum("f").alias("n")))
     totals = {r.lang: r.n for r in sizes.collect()}  # one row a language
     often = words.where(F.col("f") >= support)
     table = bit_table(often.select(hash_of_words("lang", "phrase").alias("key")), table_bits)
     parts = [often.withColumn("length", F.lit(1))]
-    for lengths in ([2], list(range(3, longest + 1))):
-        if not lengths:
-            break
-        table = bit_table(mined(*own, lengths, table, totals, support, shard_words), table_bits)
-        parts.append(counted(*own, lengths, table, support, shard_words).withColumn("length", F.size(F.split("phrase", " "))))
+    levels = [x for x in ([2], list(range(3, longest + 1))) if x]
+    for counted, mined in zip([[], *levels], [*levels, []]):  # one level is counted as the next is mined
+        found = passed(shards, counted, mined, table, totals, support, shard_words)
+        if counted and mined:
+            found = pin(found)
+        if counted:
+            parts.append(found.where("phrase is not null").select("lang", "phrase", "f").withColumn("length", F.size(F.split("phrase", " "))))
+        if mined:
+            table = bit_table(found.where("key is not null").select("key"), table_bits)
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionAll(part)
@@ -362,6 +402,7 @@ def collocations(docs: DataFrame, lang_column: str = "lang", text_column: str =
 
 def phrase_collocations(spark, folder: str) -> DataFrame:
     """Query op13: the best phrases of each language over all documents."""
+    small_batches(spark)
     return collocations(spark.read.parquet(f"{folder}/documents.parquet"))
 
 

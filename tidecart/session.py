@@ -32,6 +32,18 @@ def shared_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+BATCH_ROWS, BATCH_BYTES = 1000, 8 * 1024 * 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand Python workers less at a time, for the rest of the session: JVM and worker each hold a batch of whole texts."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        held = spark.conf.get(name, None)
+        if held is not None and (not held.isdigit() or not 0 < int(held) <= most):
+            spark.conf.set(name, most)
+
+
 _open: list[list[tuple[SparkSession, DataFrame | str]]] = []  # what each open ``pinned_tables`` has to release
 
 

@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecart.llm import line_templates, mixing, near_copies, packing, repetition, simhash
-from tidecart.session import pin, shared_folder
+from tidecart.session import pin, shared_folder, small_batches
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the length and repetition rules."""
+    small_batches(spark)
     return repetition.without_repetitive(docs)
 
 
@@ -31,6 +32,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: fingerprints within two bits, or shingles of five words alike to 0.8 or more."""
+    small_batches(spark)
     return simhash.one_of_each(docs, similar=near_copies.similar_links(docs))
 
 
@@ -41,6 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the training sequences."""
+    small_batches(spark)
     return packing.packed_documents(docs, ["doc_id"])
 
 

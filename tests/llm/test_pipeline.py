@@ -72,3 +72,15 @@ def test_line_stage_drops_documents_of_boilerplate_only(spark):
     docs = spark.createDataFrame([(i, line, "en", "web", len(line)) for i in range(4)], "doc_id long, text string, lang string, source string, n_chars long")
     assert [r.doc_id for r in corpus_pipeline.line_dedup(spark, docs, "unused").collect()] == [0]
     assert line_templates.without_boilerplate(docs).count() == 4
+
+
+def test_python_workers_get_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for held, now in (("10000", "1000"), ("0", "1000"), ("500", "500")):
+            spark.conf.set(name, held)
+            corpus_pipeline.quality_rules(spark, spark.createDataFrame([(1, "a", "en", "x", 1)], corpus_pipeline.COLUMNS), "")
+            assert spark.conf.get(name) == now
+    finally:
+        spark.conf.set(name, before)

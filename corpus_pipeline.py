@@ -7,12 +7,13 @@ the rows are written as parquet and read again, so a lost executor costs a stage
 from __future__ import annotations
 
 import uuid
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecart.llm import line_templates, mixing, near_copies, packing, repetition, simhash
-from tidecart.session import pin, shared_folder, small_batches
+from tidecart.session import pin, pinned_tables, release_shuffles, shared_folder, small_batches
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -56,8 +57,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
+    written = shared_folder(spark) is not None
     for _, stage in STAGES[:-1]:
-        docs = between(spark, stage(spark, docs, sf_dir))
+        with pinned_tables() if written else nullcontext():  # without a folder the rows are still to be worked out
+            docs = between(spark, stage(spark, docs, sf_dir))
+        release_shuffles(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -108,3 +108,17 @@ def test_long_text_is_taken_whole():
     assert len(bands) == near_copies.BANDS and 29_900 < len(sets) <= 29_996
     changed, _ = near_copies.sketch_of(" ".join(words[:-1] + ["x"]), multipliers)
     assert (bands == changed).sum() >= near_copies.BANDS - 1
+
+
+def test_only_the_links_stay_in_the_shared_folder(spark, tmp_path, monkeypatch):
+    from tidecart import session
+
+    text = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    docs = spark.createDataFrame([(1, text), (2, text + " one"), (3, "no such words here at all")], SCHEMA)
+    monkeypatch.setattr(session, "shared_folder", lambda s: f"file://{tmp_path}")
+    with session.pinned_tables():
+        with session.pinned_tables():
+            session.pin(docs)
+        assert near_copies.similar_links(docs).count() == 1
+        assert len(list(tmp_path.iterdir())) == 1
+    assert list(tmp_path.iterdir()) == []

@@ -84,3 +84,38 @@ def test_python_workers_get_small_batches(spark):
             assert spark.conf.get(name) == now
     finally:
         spark.conf.set(name, before)
+
+
+def test_a_stage_leaves_its_rows_only(spark, tmp_path, monkeypatch):
+    from tidecart import session
+
+    spark.createDataFrame(corpus(), SCHEMA).select(*corpus_pipeline.COLUMNS).write.parquet(f"{tmp_path}/in/documents.parquet")
+    for module in (session, corpus_pipeline):
+        monkeypatch.setattr(module, "shared_folder", lambda s: f"file://{tmp_path}/shared")
+    left, pack = [], lambda s, docs, d: left.append(sorted(p.name[:8] for p in (tmp_path / "shared").iterdir())) or docs
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*corpus_pipeline.STAGES[:-1], ("pack", pack)])
+    assert corpus_pipeline.run(spark, f"{tmp_path}/in").count() > 0
+    assert left == [["pipeline"] * 4]
+
+
+def test_python_workers_get_small_batches_where_nothing_is_set(spark):
+    import pyarrow as pa
+
+    from tidecart.session import small_batches
+
+    def rows(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    docs = spark.range(0, 4000, 1, 1).selectExpr("if(id < 2000, 'x', repeat('x', 5000)) as text")
+    most = lambda: max(r.n for r in docs.mapInArrow(rows, "n long").collect())
+    names = [f"spark.sql.execution.arrow.{n}" for n in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    for name in names:
+        spark.conf.unset(name)
+    try:
+        assert most() == 4000
+        small_batches(spark)
+        assert most() == 1000 and int(spark.conf.get(names[1])) == 1 << 20
+    finally:
+        for name in names:
+            spark.conf.unset(name)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidecart.llm._common import appended, column
 from tidecart.operators.attach import fits_broadcast
-from tidecart.session import pin
+from tidecart.session import pin, pin_result
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -92,6 +92,10 @@ def similar_links(docs: DataFrame, text_column: str = "text", width: int = WIDTH
     Shingles are told apart by 32 bits when similarity is verified. Texts without words have no link; an
     empty table gives an empty result; repeated rows count once.
     """
+    return pin_result(docs.sparkSession, lambda: _links(docs, text_column, width))
+
+
+def _links(docs: DataFrame, text_column: str, width: int) -> DataFrame:
     above, below = SIMILARITY
     texts = pin(sketches(docs, text_column, width))
     entries = pin(texts.select("text_hash", F.size("shingles").alias("n"), F.explode("bands").alias("key")).distinct())

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -32,15 +33,15 @@ def shared_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
-BATCH_ROWS, BATCH_BYTES = 1000, 8 * 1024 * 1024
+BATCH_ROWS, BATCH_BYTES = 1000, 1024 * 1024
 
 
 def small_batches(spark: SparkSession) -> None:
     """Let Spark hand Python workers less at a time, for the rest of the session: JVM and worker each hold a batch of whole texts."""
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         name = f"spark.sql.execution.arrow.{name}"
-        held = spark.conf.get(name, None)
-        if held is not None and (not held.isdigit() or not 0 < int(held) <= most):
+        held = spark.conf.get(name).removesuffix("b")  # Spark's own default too, which get(name, None) would not tell
+        if not held.isdigit() or not 0 < int(held) <= most:
             spark.conf.set(name, most)
 
 
@@ -67,6 +68,28 @@ def pin(df: DataFrame) -> DataFrame:
     return kept
 
 
+def pin_result(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """Pin what ``make`` returns; what it pinned on the way goes from the shared folder at once.
+
+    Without such a folder the result is not yet worked out, so the tables on the way stay as long as it does.
+    """
+    if shared_folder(spark) is None:
+        return pin(make())
+    with pinned_tables():
+        kept = pin(make())
+        if len(_open) > 1:
+            _open[-2].append(_open[-1][-1])
+        _open[-1].pop()
+    release_shuffles(spark)
+    return kept
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let the driver collect its garbage: Spark deletes the files of a shuffle once no plan refers to it any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def pinned_tables() -> Iterator[None]:
     """Release on leaving what was pinned inside: write results before that.
@@ -78,7 +101,7 @@ def pinned_tables() -> Iterator[None]:
     try:
         yield
     finally:
-        _open.remove(held)
+        _open[:] = [x for x in _open if x is not held]  # not by what they hold: nested ones may hold the same
         for spark, what in held:
             if isinstance(what, str):
                 place = spark._jvm.org.apache.hadoop.fs.Path(what)

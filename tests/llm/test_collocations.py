@@ -85,3 +85,25 @@ def test_a_shard_is_read_as_it_was_written():
     assert [named[n] if n else "." for n in shard.numbers] == [
         ("en", "new"), ("en", "york"), ".", ("en", "new"), ".", ("de", "new"), ("de", "É"), "."]
     assert len(set(shard.hashes()[shard.numbers[shard.numbers > 0]].tolist())) == 4
+
+
+def test_phrases_of_four_words_are_mined_by_their_parts_of_three():
+    import numpy as np
+
+    words = np.array([col.mixed(np.array([n], np.uint64), 1, np.arange(1))[0] for n in range(1, 6)])
+    table = np.zeros(1 << 17, np.uint8)
+    for length in (1, 2, 3):  # all words and pairs of the five, but the first three together only
+        for key in col.mixed(words, length, np.arange(6 - length if length < 3 else 1)):
+            slot = int(key) & ((1 << 20) - 1)
+            table[slot >> 3] |= 1 << (slot & 7)
+    assert col.phrase_hashes(words, np.arange(3), 3, table)[0].tolist() == [0, 1, 2]
+    assert col.phrase_hashes(words, np.arange(2), 4, table)[0].tolist() == []
+
+
+def test_mined_keys_are_short(spark):
+    table = spark.createDataFrame([("en", "a b c d")] * 60, "lang string, text string")
+    shards = col.sharded(table, "lang", "text", 50)
+    import numpy as np
+
+    found = col.passed(shards, [], [2], np.full(1 << 17, 255, np.uint8), {"en": 240}, 5, 50).collect()
+    assert len(found) == 3 and all(0 <= r.key < 1 << 40 for r in found)

@@ -4,7 +4,7 @@ A shard is as many documents as a task holds at a time. A phrase with a global c
 support has, in one shard at least, its share of it: the support times the shard's part of the
 language's words, rounded up. Texts are divided into words once; shards are kept as word numbers and read
 by every pass. So each shard is mined completely at that lowered support, level by level
-(pairs, then longer phrases whose pairs are frequent), and the union of what shards find is counted
+(pairs, then phrases of one word more whose parts are frequent), and the union of what shards find is counted
 exactly over all documents. Where there are as many shards as the support or more, the lowered support is
 one and the shards' counts add up; the union is then cut to the phrases whose sum reaches the support. Candidates travel to the counting tasks as a bit table of fixed size, by hash: phrases
 that share a bit by chance are counted too and fall to the support afterwards, so no result depends on
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidecart.llm._common import column
 from tidecart.operators.attach import fits_broadcast
-from tidecart.session import pin, small_batches
+from tidecart.session import pin, release_shuffles, small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -33,6 +33,7 @@ TOP = 2000
 SCORE_SCALE = 2_000_000
 SHARD_WORDS = 500_000     # words that a task mines at a time
 TABLE_BITS = 27           # the bit table of candidates has 2 ** 27 bits: 16 MiB
+KEY_BITS = 40             # of a mined phrase's hash, which are summed by; phrases that share them are candidates together
 BROADCAST_BYTES = 16 * 1024 * 1024
 _CHUNK = 1 << 20          # bytes of a text divided into words at a time
 
@@ -235,13 +236,9 @@ def word_counts(shards: DataFrame) -> DataFrame:
 
 
 def phrase_hashes(part, at, length: int, table):
-    """(places, hashes) of the phrases from ``at`` on that consist of parts of ``table``.
-
-    Pairs consist of frequent words, longer phrases of frequent pairs.
-    """
-    small = 1 if length == 2 else 2
-    for k in range(length - small + 1):
-        at = at[set_bits(table, mixed(part, small, at + k))]
+    """(places, hashes) of the phrases from ``at`` on whose two parts of one word less ``table`` holds."""
+    for k in range(2):
+        at = at[set_bits(table, mixed(part, length - 1, at + k))]
     return at, mixed(part, length, at)
 
 
@@ -280,7 +277,7 @@ def passed(shards: DataFrame, counted: list[int], mined: list[int], table, total
                 key, first, counts = np.unique(hashed, return_index=True, return_counts=True)
                 often = counts >= least[numbers[at[first]]]
                 key, counts = key[often], counts[often]
-            keys.append(key.view(np.int64))
+            keys.append((key & np.uint64((1 << KEY_BITS) - 1)).view(np.int64))
             found.append(counts + unsure)
         n = sum(map(len, keys))
         blank = pa.nulls(n, pa.string())
@@ -312,10 +309,11 @@ def frequent(docs: DataFrame, lang_column: str = "lang", text_column: str = "tex
     words = pin(word_counts(shards))
     sizes = pin(words.groupBy("lang").agg(F.sum("f").alias("n")))
     totals = {r.lang: r.n for r in sizes.collect()}  # one row a language
+    release_shuffles(docs.sparkSession)
     often = words.where(F.col("f") >= support)
     table = bit_table(often.select(hash_of_words("lang", "phrase").alias("key")), table_bits)
     parts = [often.withColumn("length", F.lit(1))]
-    levels = [x for x in ([2], list(range(3, longest + 1))) if x]
+    levels = [[length] for length in range(2, longest + 1)]
     for counted, mined in zip([[], *levels], [*levels, []]):  # one level is counted as the next is mined
         found = passed(shards, counted, mined, table, totals, support, shard_words)
         if counted and mined:
@@ -324,6 +322,7 @@ def frequent(docs: DataFrame, lang_column: str = "lang", text_column: str = "tex
             parts.append(found.where("phrase is not null").select("lang", "phrase", "f").withColumn("length", F.size(F.split("phrase", " "))))
         if mined:
             table = bit_table(found.where("key is not null").select("key"), table_bits)
+        release_shuffles(docs.sparkSession)
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionAll(part)

@@ -107,3 +107,25 @@ def test_mined_keys_are_short(spark):
 
     found = col.passed(shards, [], [2], np.full(1 << 17, 255, np.uint8), {"en": 240}, 5, 50).collect()
     assert len(found) == 3 and all(0 <= r.key < 1 << 40 for r in found)
+
+
+def test_mined_keys_travel_in_blocks(spark):
+    import numpy as np
+
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(40)]
+    pairs = Counter(p for t in texts for p in zip(t.split(), t.split()[1:]))
+    shards = col.sharded(spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(2), "lang", "text", 800)
+    found = col.mined_keys(shards, [2], np.full(1 << 17, 255, np.uint8), {"en": 16000}, 3, 800)  # as many shards as the support
+    assert found.count() == sum(n >= 3 for n in pairs.values()) > 0
+    keys = np.sort(np.array([rng.getrandbits(30) for _ in range(5000)]))
+    counts = np.array([rng.choice([1, 1, 1, 1, 300]) for _ in keys])
+    block = col.packed(keys, counts)
+    assert len(block) < 5 * len(keys)  # a row of key and count took nine bytes of a compressed shuffle
+    assert [x.tolist() for x in col.unpacked(block)] == [keys.tolist(), counts.tolist()]
+
+
+def test_buckets_grow_with_the_corpus():
+    assert col.bucket_bits(0) == col.bucket_bits(10 ** 9) == 10
+    assert all(words >> col.bucket_bits(words) <= col.BUCKET_WORDS for words in (10 ** 10, 10 ** 11, 10 ** 12))

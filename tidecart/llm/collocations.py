@@ -34,6 +34,8 @@ SCORE_SCALE = 2_000_000
 SHARD_WORDS = 500_000     # words that a task mines at a time
 TABLE_BITS = 27           # the bit table of candidates has 2 ** 27 bits: 16 MiB
 KEY_BITS = 40             # of a mined phrase's hash, which are summed by; phrases that share them are candidates together
+BUCKET_BITS = 10          # mined keys are summed in at least two to the power of this many buckets
+BUCKET_WORDS = 1 << 21    # of the corpus for each bucket, beyond that
 BROADCAST_BYTES = 16 * 1024 * 1024
 _CHUNK = 1 << 20          # bytes of a text divided into words at a time
 
@@ -242,34 +244,47 @@ def phrase_hashes(part, at, length: int, table):
     return at, mixed(part, length, at)
 
 
-def passed(shards: DataFrame, counted: list[int], mined: list[int], table, totals: dict[str, int], support: int, shard_words: int) -> DataFrame:
-    """One pass: (lang, phrase, f) of counted phrases that reach the support, and (key) of mined ones that can, other columns null.
+def packed(keys, counts) -> bytes:
+    """Sorted keys and their counts, compressed: the steps between keys, bytes of equal weight together."""
+    import numpy as np
+
+    values = np.concatenate([np.diff(keys, prepend=0), counts]).astype("<i8")
+    return zlib.compress(values.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpacked(block: bytes):
+    """(keys, counts) as ``packed`` got them."""
+    import numpy as np
+
+    values = np.frombuffer(zlib.decompress(block), np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
+    n = len(values) // 2
+    return np.cumsum(values[:n]), values[n:]
+
+
+def bucket_bits(words: int) -> int:
+    """Mined keys are summed in as many buckets as this many of their first bits tell apart: the bucket of a corpus has a bounded share of it."""
+    return min(KEY_BITS, max(BUCKET_BITS, (words // BUCKET_WORDS).bit_length()))
+
+
+def mined_keys(shards: DataFrame, lengths: list[int], table, totals: dict[str, int], support: int, shard_words: int) -> DataFrame:
+    """(key) of phrases of the lengths that can reach the support; ``table`` has the parts that they may consist of.
 
-    Phrases of the lengths ``counted`` are counted exactly where ``table`` holds them. Of the lengths ``mined`` the
-    keys are those of phrases that some shard finds frequent; ``table`` has the parts that they may consist of.
     Where the corpus has as many shards as the support or more, a shard's share of the support is one: what
     shards report are then all occurrences, and their sum is exact. With fewer shards each reports by its own
-    share, and all that is reported stays.
+    share, and all that is reported stays. A shard's keys travel as a compressed block per bucket.
     """
-    complete = sum(totals.values()) >= support * shard_words
-    unsure = 0 if complete else 1 << 40  # added to a count that is no sum over all shards
+    words = sum(totals.values())
+    complete = words >= support * shard_words
+    shift = KEY_BITS - bucket_bits(words)
 
     def work(shard):
         import numpy as np
-        import pyarrow as pa
 
         numbers = shard.numbers
         part = shard.hashes()[numbers]
-        least = None if complete or not mined else shard.support(totals, support)
-        langs, phrases, keys, found = [], [], [], []
-        for length in counted:
-            at = places(numbers, length)
-            at = at[set_bits(table, mixed(part, length, at))]
-            _, first, counts = classes(numbers, at, length)
-            langs += [shard.langs[i] for i in shard.of[numbers[first]].tolist()]
-            phrases += spelled(shard, first, length)
-            found.append(counts)
-        for length in mined:
+        least = None if complete else shard.support(totals, support)
+        keys, found = [], []
+        for length in lengths:
             at, hashed = phrase_hashes(part, places(numbers, length), length, table)
             if complete:
                 key, counts = np.unique(hashed, return_counts=True)
@@ -278,16 +293,53 @@ def passed(shards: DataFrame, counted: list[int], mined: list[int], table, total
                 often = counts >= least[numbers[at[first]]]
                 key, counts = key[often], counts[often]
             keys.append((key & np.uint64((1 << KEY_BITS) - 1)).view(np.int64))
-            found.append(counts + unsure)
-        n = sum(map(len, keys))
-        blank = pa.nulls(n, pa.string())
-        return [pa.concat_arrays([pa.array(langs, pa.string()), blank]), pa.concat_arrays([pa.array(phrases, pa.string()), blank]),
-                pa.concat_arrays([pa.nulls(len(phrases), pa.int64()), *map(pa.array, keys)]), np.concatenate(found)]
+            found.append(counts)
+        key, counts = np.concatenate(keys), np.concatenate(found)
+        order = np.argsort(key)
+        key, counts = key[order], counts[order]
+        buckets, first = np.unique(key >> shift, return_index=True)
+        ends = [*first[1:].tolist(), len(key)]
+        within = key & ((1 << shift) - 1)
+        return buckets, [packed(within[i:j], counts[i:j]) for i, j in zip(first.tolist(), ends)]
+
+    def often(blocks):
+        import numpy as np
+        import pyarrow as pa
 
-    found = over_shards(shards, work, "lang string, phrase string, key long, f long")
-    if not counted:  # a key alone is the narrower row
-        return found.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
-    return found.groupBy("lang", "phrase", "key").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
+        keys, counts = map(np.concatenate, zip(*(unpacked(b.as_py()) for b in blocks.column("block"))))
+        key, of = np.unique(keys, return_inverse=True)
+        if complete:
+            key = key[np.bincount(of, weights=counts) >= support]
+        return pa.table({"key": key + (blocks.column("bucket")[0].as_py() << shift)})
+
+    return over_shards(shards, work, "bucket long, block binary").groupBy("bucket").applyInArrow(often, "key long")
+
+
+def counted_phrases(shards: DataFrame, lengths: list[int], table, support: int) -> DataFrame:
+    """(lang, phrase, f) of phrases of the lengths that reach the support, counted exactly where ``table`` holds them."""
+
+    def work(shard):
+        import numpy as np
+
+        numbers = shard.numbers
+        part = shard.hashes()[numbers]
+        langs, phrases, found = [], [], []
+        for length in lengths:
+            at = places(numbers, length)
+            at = at[set_bits(table, mixed(part, length, at))]
+            _, first, counts = classes(numbers, at, length)
+            langs += [shard.langs[i] for i in shard.of[numbers[first]].tolist()]
+            phrases += spelled(shard, first, length)
+            found.append(counts)
+        return langs, phrases, np.concatenate(found)
+
+    found = over_shards(shards, work, "lang string, phrase string, f long")
+    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
+
+
+def passed(shards: DataFrame, counted: list[int], mined: list[int], table, totals: dict[str, int], support: int, shard_words: int) -> DataFrame:
+    """One pass over the shards: ``counted_phrases`` of the lengths ``counted`` or, where there are none, ``mined_keys`` of ``mined``."""
+    return counted_phrases(shards, counted, table, support) if counted else mined_keys(shards, mined, table, totals, support, shard_words)
 
 
 def bit_table(keys: DataFrame, bits: int):
@@ -314,14 +366,11 @@ def frequent(docs: DataFrame, lang_column: str = "lang", text_column: str = "tex
     table = bit_table(often.select(hash_of_words("lang", "phrase").alias("key")), table_bits)
     parts = [often.withColumn("length", F.lit(1))]
     levels = [[length] for length in range(2, longest + 1)]
-    for counted, mined in zip([[], *levels], [*levels, []]):  # one level is counted as the next is mined
-        found = passed(shards, counted, mined, table, totals, support, shard_words)
-        if counted and mined:
-            found = pin(found)
-        if counted:
-            parts.append(found.where("phrase is not null").select("lang", "phrase", "f").withColumn("length", F.size(F.split("phrase", " "))))
-        if mined:
-            table = bit_table(found.where("key is not null").select("key"), table_bits)
+    for level in levels:
+        table = bit_table(passed(shards, [], level, table, totals, support, shard_words), table_bits)
+        release_shuffles(docs.sparkSession)
+        found = pin(passed(shards, level, [], table, totals, support, shard_words))
+        parts.append(found.withColumn("length", F.size(F.split("phrase", " "))))
         release_shuffles(docs.sparkSession)
     whole = parts[0]
     for part in parts[1:]:
